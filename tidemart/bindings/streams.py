@@ -1 +1,143 @@
-"""Streaming queries."""
+"""Streaming queries: the tables are read as file streams until nothing is left.
+
+Results go to a table in the shared folder and are read back from there.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from tidemart.bindings import frames
+from tidemart.bindings.registry import ENTRIES, PAGES, bounces, query, span, text
+from tidemart.bindings.traffic import DAY, HALF_DAY, TIES, _keyword_sql
+from tidemart.operators import joins
+from tidemart.plans import keywords, traffic, users
+from tidemart.session import shared_dir
+from tidemart.sinks import BATCH, append_batches, for_each, read_upserted, upsert_batches
+from tidemart.streaming import jobs, state
+
+
+class StreamTables(frames.Tables):
+    """The same tables as file streams."""
+
+    def __init__(self, t: frames.Tables):
+        super().__init__(t.spark, t.folder)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}.parquet"
+        schema = self.spark.read.parquet(path).schema
+        # A pattern, because a plain path would have to be a folder.
+        df = self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}.parque[t]")
+        return df.withColumns({c: F.col(c).cast("timestamp")
+                               for c, kind in df.dtypes if kind == "timestamp_ntz"})
+
+
+def _appended(t: frames.Tables, df: DataFrame, name: str) -> DataFrame:
+    """Run an append-mode stream to its end and read what it wrote."""
+    base = shared_dir(t.spark, name)
+    jobs.start(for_each(df, append_batches(f"{base}/table"), f"{base}/checkpoint")).awaitTermination()
+    return t.spark.read.schema(df.schema).parquet(f"{base}/table").drop(BATCH)
+
+
+def _upserted(t: frames.Tables, df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Run an update-mode stream to its end and read the last row per key."""
+    base = shared_dir(t.spark, name)
+    jobs.start(for_each(df, upsert_batches(f"{base}/table", keys), f"{base}/checkpoint",
+                        "update")).awaitTermination()
+    return read_upserted(t.spark, f"{base}/table", keys)
+
+
+@query("stream_page_view_window", f"""
+WITH {PAGES}
+SELECT {span('t', DAY)}, vc, ch, ar, is_new, count(*) AS pv_ct,
+       count(*) FILTER (event_type = 'view') AS sv_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum
+FROM pages GROUP BY ALL""")
+def stream_page_view_window(t):
+    """Page views per day in update mode, kept as one row per window and key."""
+    pages = frames.pages(StreamTables(t)).withWatermark("event_time", "12 seconds")
+    totals = traffic.page_view_totals(traffic.page_measures(pages), "1 day")
+    kept = _upserted(t, totals, "page-views", ["stt", *traffic.VISIT_KEYS])
+    return kept.select("stt", "edt", *traffic.VISIT_KEYS, "pv_ct", "sv_ct", "dur_sum")
+
+
+@query("stream_keyword_window", _keyword_sql(
+    "SELECT 'search' AS source, 'Item ' || k || ' - ' || event_type AS keyword, t FROM pages WHERE event_type = 'click'"))
+def stream_keyword_window(t):
+    """Search words per day in update mode."""
+    pages = frames.pages(StreamTables(t)).withWatermark("event_time", "5 seconds")
+    return _upserted(t, keywords.keyword_window(pages, "1 day"), "keywords",
+                     ["stt", "source", "keyword"])
+
+
+@query("stream_uv_detail", f"""
+WITH {ENTRIES} SELECT DISTINCT mid, CAST(CAST(t AS DATE) AS VARCHAR) AS day FROM entries""")
+def stream_uv_detail(t):
+    """Visitors per day, each once."""
+    rows = jobs.uv_detail(frames.pages(StreamTables(t))).select(
+        F.col("common.mid").alias("mid"), F.to_date("event_time").cast("string").alias("day"))
+    return _appended(t, rows, "uv")
+
+
+@query("stream_bounce_detail", f"""
+WITH {PAGES}, {bounces(HALF_DAY)}
+SELECT event_id, mid, {text('t')} AS at FROM uj
+WHERE t + INTERVAL 12 HOUR <= (SELECT max(t) - INTERVAL 2 SECOND FROM pages)""")
+def stream_bounce_detail(t):
+    """Bounces that the final watermark has decided."""
+    rows = jobs.bounce_detail(frames.pages(StreamTables(t)), "12 hours", "2 seconds", TIES)
+    return _appended(t, rows, "bounces").select(
+        "event_id", F.col("common.mid").alias("mid"),
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query("stream_is_new_fix", f"""
+WITH {PAGES}, f AS (
+  SELECT *, first_value(is_new) OVER w AS flag0, CAST(first_value(t) OVER w AS DATE) AS day0 FROM pages
+  WINDOW w AS (PARTITION BY mid ORDER BY t, event_id))
+SELECT event_id, mid, CASE WHEN is_new = '1' AND flag0 = '1' AND CAST(t AS DATE) = day0
+                           THEN '1' ELSE '0' END AS is_new FROM f""")
+def stream_is_new_fix(t):
+    """New-visitor flag corrected in state."""
+    rows = frames.pages(StreamTables(t)).select(
+        "event_id", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+        "event_time", F.to_date("event_time").alias("day"))
+    fixed = state.new_flag(rows, "mid", "event_time", "day", "is_new", TIES)
+    return _appended(t, fixed, "is-new").select("event_id", "mid", "is_new")
+
+
+@query("stream_logins", f"""
+WITH {ENTRIES}, d AS (SELECT uid, CAST(t AS DATE) AS day FROM entries GROUP BY ALL),
+g AS (SELECT *, lag(day) OVER (PARTITION BY uid ORDER BY day) AS before FROM d)
+SELECT uid, CAST(day AS VARCHAR) AS day, CAST(before IS NULL AS BIGINT) AS is_first_day,
+       CAST(coalesce(day - before > 3, false) AS BIGINT) AS is_back FROM g""")
+def stream_logins(t):
+    """Daily logins with first-day and returning marks, from state."""
+    marked = jobs.day_marks(users.logins(frames.pages(StreamTables(t))), "uid", "event_time", gap=3)
+    return _appended(t, marked, "logins").select(
+        "uid", F.col("day").cast("string").alias("day"), "is_first_day", "is_back")
+
+
+@query("stream_toggle_filter", """
+SELECT event_id, user_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) % 2 = 1""")
+def stream_toggle_filter(t):
+    """Every other event of a user and type, from state."""
+    rows = StreamTables(t).events.select("event_id", "user_id", "event_type", "ts")
+    return _appended(t, state.toggle(rows, ["user_id", "event_type"], "ts", TIES), "toggle").drop("ts")
+
+
+@query("stream_interval_join", """
+SELECT v.user_id, v.event_id AS view_id, c.event_id AS click_id FROM events v JOIN events c
+ON v.user_id = c.user_id AND c.ts BETWEEN v.ts - INTERVAL 6 HOUR AND v.ts + INTERVAL 6 HOUR
+WHERE v.event_type = 'view' AND c.event_type = 'click'""")
+def stream_interval_join(t):
+    """Views and clicks of a user within six hours, both as streams."""
+    s = StreamTables(t)
+    views = s.events.where("event_type = 'view'").select(
+        "user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
+    clicks = s.events.where("event_type = 'click'").select(
+        F.col("user_id").alias("click_user"), F.col("event_id").alias("click_id"),
+        F.col("ts").alias("click_ts"))
+    pairs = joins.stream_interval_join(views, clicks, "user_id", "click_user", "view_ts",
+                                       "click_ts", "-6 hours", "6 hours")
+    return _appended(t, pairs.select("user_id", "view_id", "click_id"), "interval")

@@ -84,11 +84,14 @@ def _measures(frame: DataFrame, **values: Column) -> DataFrame:
 
 def page_view_measures(pages: DataFrame, uv: DataFrame, uj: DataFrame) -> DataFrame:
     """One measure row per page, unique visitor and bounce, in one frame."""
-    one = F.lit(1)
+    return (page_measures(pages).unionByName(_measures(uv, uv_ct=F.lit(1)))
+                                .unionByName(_measures(uj, uj_ct=F.lit(1))))
+
+
+def page_measures(pages: DataFrame) -> DataFrame:
+    """The measures that follow from the pages alone."""
     is_entry = F.when(F.expr(_IS_ENTRY), 1).otherwise(0)
-    page_rows = _measures(pages, sv_ct=is_entry, pv_ct=one, dur_sum=F.col("page.during_time"))
-    return (page_rows.unionByName(_measures(uv, uv_ct=one))
-                     .unionByName(_measures(uj, uj_ct=one)))
+    return _measures(pages, sv_ct=is_entry, pv_ct=F.lit(1), dur_sum=F.col("page.during_time"))
 
 
 def page_view_window(pages: DataFrame, uv: DataFrame, uj: DataFrame,
