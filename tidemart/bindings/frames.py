@@ -5,6 +5,8 @@ Every frame covers a whole table.  Times are read as UTC.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart import fixed
@@ -15,13 +17,25 @@ from tidemart.session import tune
 class Tables:
     """The tables of one folder, with timestamps as instants."""
 
+    # Tables whose rows are costly to shape, and a key that spreads them.
+    SPREAD = {"lineitem": "l_orderkey", "documents": "doc_id"}
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tune(spark, "UTC"), folder
 
     def __getattr__(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return df.withColumns({c: F.col(c).cast("timestamp")
-                               for c, kind in df.dtypes if kind == "timestamp_ntz"})
+        # A table in a single file is read by few tasks; one of many files is left alone.
+        if name in self.SPREAD and len(df.inputFiles()) == 1:
+            df = df.repartition(self.spark.sparkContext.defaultParallelism, self.SPREAD[name])
+        df = instants(df)
+        setattr(self, name, df)
+        return df
+
+
+def instants(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp")
+                           for c, kind in df.dtypes if kind == "timestamp_ntz"})
 
 
 def _text(value: str | Column) -> Column:
@@ -125,62 +139,92 @@ def line_amounts() -> dict[str, Column]:
         "split_coupon_amount": _text(_share("l_tax"))}
 
 
-def order_status() -> Column:
-    return (F.when(F.col("o_orderstatus") == "F", fixed.REFUNDED)
-             .when(F.col("o_orderstatus") == "P", "1002").otherwise("1001"))
+def _line_changes(t: Tables, table: str, data: dict[str, Column], where: str = "true") -> DataFrame:
+    return _change(t.lineitem.where(where), table, F.lit(fixed.INSERT), _seconds("l_shipdate"), data)
+
+
+def _created() -> Column:
+    return window_text(F.col("l_shipdate"))
+
+
+def _pieces() -> Column:
+    return F.col("l_quantity").cast("int")
+
+
+def order_detail_changes(t: Tables) -> DataFrame:
+    return _line_changes(t, fixed.ORDER_DETAIL, {
+        "id": _line_key(), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
+        "source_id": F.col("l_suppkey"), "source_type": _pieces(), "create_time": _created(),
+        "order_price": _price(), "sku_num": _pieces(), **line_amounts()})
+
+
+def activity_changes(t: Tables) -> DataFrame:
+    return _line_changes(t, fixed.ORDER_DETAIL_ACTIVITY, {
+        "order_detail_id": _line_key(), "order_id": F.col("l_orderkey"),
+        "activity_id": F.col("l_discount").cast("decimal(4,2)"),
+        "activity_rule_id": F.col("l_linenumber"), "create_time": _created()}, "l_discount >= 0.05")
+
 
+def coupon_changes(t: Tables) -> DataFrame:
+    return _line_changes(t, fixed.ORDER_DETAIL_COUPON, {
+        "order_detail_id": _line_key(), "order_id": F.col("l_orderkey"),
+        "coupon_id": F.col("l_tax").cast("decimal(4,2)"),
+        "coupon_use_id": F.col("l_suppkey"), "create_time": _created()}, "l_tax >= 0.04")
 
-def change_log(t: Tables) -> DataFrame:
-    """Row change log.  A reader of one table scans only the tables behind it."""
-    insert = F.lit(fixed.INSERT)
-    status = F.col("o_orderstatus")
-    lines, shipped = t.lineitem, _seconds("l_shipdate")
-    created = window_text(F.col("l_shipdate"))
+
+def refund_changes(t: Tables) -> DataFrame:
+    return _line_changes(t, fixed.ORDER_REFUND_INFO, {
+        "id": _line_key(), "user_id": F.col("l_suppkey"), "order_id": F.col("l_orderkey"),
+        "sku_id": F.col("l_partkey"), "refund_type": F.col("l_linenumber"),
+        "refund_num": _pieces(), "refund_amount": _price(), "refund_reason_type": _pieces(),
+        "refund_reason_txt": F.col("l_linestatus"), "create_time": _created()}, "l_returnflag = 'R'")
+
+
+def cart_changes(t: Tables) -> DataFrame:
+    """Open lines are new cart rows, the others change a count that some do not carry."""
+    kind = F.when(F.col("l_linestatus") == "O", fixed.INSERT).otherwise(fixed.UPDATE)
+    return _change(t.lineitem, fixed.CART_INFO, kind, _seconds("l_shipdate"), {
+        "id": _line_key(), "user_id": F.col("l_suppkey"), "sku_id": F.col("l_partkey"),
+        "source_type": _pieces(), "sku_num": _pieces()},
+        {"sku_num": F.when(F.col("l_returnflag") != "N", F.col("l_linenumber") * 5)})
+
+
+def order_changes(t: Tables) -> DataFrame:
+    """Open orders are new, finished ones were refunded, pending ones changed elsewhere."""
     orders = t.orders.join(t.customer.select("c_custkey", "c_nationkey"),
                            F.col("o_custkey") == F.col("c_custkey"))
-    changed = status != "O"
-    parts = [
-        _change(lines, fixed.ORDER_DETAIL, insert, shipped, {
-            "id": _line_key(), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
-            "source_id": F.col("l_suppkey"), "source_type": F.col("l_quantity").cast("int"),
-            "create_time": created, "order_price": _price(),
-            "sku_num": F.col("l_quantity").cast("int"), **line_amounts()}),
-        _change(lines.where("l_discount >= 0.05"), fixed.ORDER_DETAIL_ACTIVITY, insert, shipped, {
-            "order_detail_id": _line_key(), "activity_id": F.col("l_discount").cast("decimal(4,2)"),
-            "activity_rule_id": F.col("l_linenumber"), "create_time": created}),
-        _change(lines.where("l_tax >= 0.04"), fixed.ORDER_DETAIL_COUPON, insert, shipped, {
-            "order_detail_id": _line_key(), "coupon_id": F.col("l_tax").cast("decimal(4,2)"),
-            "coupon_use_id": F.col("l_suppkey"), "create_time": created}),
-        _change(lines.where("l_returnflag = 'R'"), fixed.ORDER_REFUND_INFO, insert, shipped, {
-            "id": _line_key(), "user_id": F.col("l_suppkey"), "order_id": F.col("l_orderkey"),
-            "sku_id": F.col("l_partkey"), "refund_type": F.col("l_linenumber"),
-            "refund_num": F.col("l_quantity").cast("int"), "refund_amount": _price(),
-            "refund_reason_type": F.col("l_quantity").cast("int"),
-            "refund_reason_txt": F.col("l_linestatus"), "create_time": created}),
-        _change(lines, fixed.CART_INFO,
-                F.when(F.col("l_linestatus") == "O", fixed.INSERT).otherwise(fixed.UPDATE),
-                shipped, {
-                    "id": _line_key(), "user_id": F.col("l_suppkey"), "sku_id": F.col("l_partkey"),
-                    "source_type": F.col("l_quantity").cast("int"),
-                    "sku_num": F.col("l_quantity").cast("int")},
-                {"sku_num": F.when(F.col("l_returnflag") != "N", F.col("l_linenumber") * 5)}),
-        _change(orders, fixed.ORDER_INFO,
-                F.when(changed, fixed.UPDATE).otherwise(fixed.INSERT), _seconds("o_orderdate"), {
-                    "id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
-                    "province_id": F.col("c_nationkey"), "order_status": order_status()},
-                {"order_status": F.when(status == "F", "1002")}),
-        _change(t.orders, fixed.PAYMENT_INFO, insert, _seconds("o_orderdate"), {
-            "user_id": F.col("o_custkey"), "order_id": F.col("o_orderkey"),
-            "payment_type": F.left("o_orderpriority", F.lit(1)),
-            "callback_time": F.when(status != "P", window_text(F.col("o_orderdate")))}),
-        _change(t.events, fixed.USER_INFO,
-                F.when(F.col("event_type") == "signup", fixed.INSERT).otherwise(fixed.UPDATE),
-                _seconds("ts"), {"id": F.col("user_id"), "create_time": window_text(F.col("ts"))}),
-    ]
-    log = parts[0]
-    for part in parts[1:]:
-        log = log.unionByName(part)
-    return log
+    state = F.col("o_orderstatus")
+    status = F.when(state == "F", fixed.REFUNDED).when(state == "P", "1002").otherwise("1001")
+    return _change(orders, fixed.ORDER_INFO,
+                   F.when(state != "O", fixed.UPDATE).otherwise(fixed.INSERT),
+                   _seconds("o_orderdate"), {
+                       "id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
+                       "province_id": F.col("c_nationkey"), "order_status": status},
+                   {"order_status": F.when(state == "F", "1002")})
+
+
+def payment_changes(t: Tables) -> DataFrame:
+    """Payments; those of pending orders have not been called back."""
+    return _change(t.orders, fixed.PAYMENT_INFO, F.lit(fixed.INSERT), _seconds("o_orderdate"), {
+        "user_id": F.col("o_custkey"), "order_id": F.col("o_orderkey"),
+        "payment_type": F.left("o_orderpriority", F.lit(1)),
+        "callback_time": F.when(F.col("o_orderstatus") != "P", window_text(F.col("o_orderdate")))})
+
+
+def user_changes(t: Tables) -> DataFrame:
+    kind = F.when(F.col("event_type") == "signup", fixed.INSERT).otherwise(fixed.UPDATE)
+    return _change(t.events, fixed.USER_INFO, kind, _seconds("ts"), {
+        "id": F.col("user_id"), "create_time": window_text(F.col("ts"))})
+
+
+def union(*parts: DataFrame) -> DataFrame:
+    """One change log out of the changes of several source tables."""
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def order_log(t: Tables) -> DataFrame:
+    """The four source tables of the wide order table."""
+    return union(order_detail_changes(t), order_changes(t), activity_changes(t), coupon_changes(t))
 
 
 def dictionary(t: Tables) -> DataFrame:

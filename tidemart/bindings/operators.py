@@ -143,8 +143,7 @@ def cdc_flatten(t):
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id FROM orders WHERE o_orderstatus = 'F'""")
 def update_transition(t):
     """Orders whose status was changed to refunded."""
-    log = frames.change_log(t).where("table = 'order_info'")
-    return log.where(changelog.changed_to("order_status", "1005")).select(
+    return frames.order_changes(t).where(changelog.changed_to("order_status", "1005")).select(
         F.col("data")["id"].alias("order_id"))
 
 

@@ -27,9 +27,8 @@ class StreamTables(frames.Tables):
         path = f"{self.folder}/{name}.parquet"
         schema = self.spark.read.parquet(path).schema
         # A pattern, because a plain path would have to be a folder.
-        df = self.spark.readStream.schema(schema).parquet(f"{self.folder}/{name}.parque[t]")
-        return df.withColumns({c: F.col(c).cast("timestamp")
-                               for c, kind in df.dtypes if kind == "timestamp_ntz"})
+        return frames.instants(self.spark.readStream.schema(schema).parquet(
+            f"{self.folder}/{name}.parque[t]"))
 
 
 def _appended(t: frames.Tables, df: DataFrame, name: str) -> DataFrame:

@@ -96,16 +96,17 @@ def _latest(t):
 
 
 def _wide(t):
-    return trade.order_wide(frames.change_log(t), frames.dictionary(t))
+    return trade.order_wide(frames.order_log(t), frames.dictionary(t))
 
 
 def _payments(t):
-    return trade.payment_detail(frames.change_log(t), trade.order_detail(_wide(t)),
+    return trade.payment_detail(frames.payment_changes(t), trade.order_detail(_wide(t)),
                                 frames.dictionary(t))
 
 
 def _refunds(t):
-    return trade.refund_detail(frames.change_log(t), frames.dictionary(t))
+    return trade.refund_detail(frames.union(frames.refund_changes(t), frames.order_changes(t)),
+                               frames.dictionary(t))
 
 
 @query("cart_delta", "WITH " + CART + """
@@ -114,7 +115,7 @@ SELECT id, user_id, sku_id, source_type_code, n_name AS source_type_name, sku_nu
 FROM cart LEFT JOIN nation ON CAST(n_nationkey AS VARCHAR) = source_type_code""")
 def cart_delta(t):
     """Additions to carts, with the name of their source."""
-    return trade.cart_add(frames.change_log(t), frames.dictionary(t))
+    return trade.cart_add(frames.cart_changes(t), frames.dictionary(t))
 
 
 @query("cart_window", "WITH " + CART + f""",
@@ -122,7 +123,7 @@ d AS (SELECT DISTINCT user_id, l_shipdate AS t FROM cart)
 SELECT {span('t', WEEK)}, count(*) AS cart_add_uu_ct FROM d GROUP BY stt, edt""")
 def cart_window(t):
     """Daily cart users per week."""
-    return trade.cart_window(trade.cart_add(frames.change_log(t), frames.dictionary(t)), "7 days")
+    return trade.cart_window(trade.cart_add(frames.cart_changes(t), frames.dictionary(t)), "7 days")
 
 
 @query("order_wide", "WITH " + WIDE + " SELECT * FROM wide")

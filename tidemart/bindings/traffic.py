@@ -85,8 +85,8 @@ SELECT event_type AS page, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ts, CAST(jso
 FROM events, (VALUES (0), (1)) AS v(n) WHERE event_type = 'view'""")
 def log_explode(t):
     """Displays of page records, each with the page id and time of its record."""
-    good, _ = parse.split_valid(frames.log_lines(t))
-    return parse.route(parse.routes(good), "display").select(
+    routed = parse.routes(parse.parsed(frames.log_lines(t)))
+    return parse.route(routed, "display").select(
         F.get_json_object("value", "$.page").alias("page"),
         F.get_json_object("value", "$.ts").alias("ts"),
         F.get_json_object("value", "$.item").cast("int").alias("item"))
@@ -178,7 +178,7 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, strftime(ts, '%Y-%m-%d') AS date_id,
 FROM events WHERE event_type = 'signup'""")
 def register_detail(t):
     """New users from the change log."""
-    return users.register_detail(frames.change_log(t))
+    return users.register_detail(frames.user_changes(t))
 
 
 @query("register_window", f"""
@@ -186,7 +186,7 @@ SELECT {span('ts', 3600)}, count(*) AS register_ct FROM events WHERE event_type
 GROUP BY stt, edt""")
 def register_window(t):
     """Registrations per hour."""
-    return users.register_window(users.register_detail(frames.change_log(t)), "1 hour")
+    return users.register_window(users.register_detail(frames.user_changes(t)), "1 hour")
 
 
 def _keyword_sql(rows: str) -> str:

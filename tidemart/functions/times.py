@@ -15,7 +15,7 @@ from tidemart.fixed import DATE_FORMAT, DATETIME_FORMAT
 
 def date_millis(text: Column) -> Column:
     """``yyyy-MM-dd`` text to epoch milliseconds of its midnight."""
-    return F.unix_millis(F.try_to_timestamp(text, F.lit(DATE_FORMAT)))
+    return F.unix_millis(datetime_of(text))
 
 
 def datetime_millis(text: Column) -> Column:
@@ -24,7 +24,10 @@ def datetime_millis(text: Column) -> Column:
 
 
 def datetime_of(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(DATETIME_FORMAT))
+    """Timestamp of a date-time text, null if unreadable.
+
+    A cast reads this format several times faster than a pattern does."""
+    return text.try_cast("timestamp")
 
 
 def millis_date(ms: Column) -> Column:

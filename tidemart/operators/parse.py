@@ -53,14 +53,20 @@ def log_keys() -> list[Column]:
             F.timestamp_millis(field("ts", "bigint")).alias("event_time")]
 
 
-def routes(valid: DataFrame) -> DataFrame:
-    """``route, value`` for each record that a log record (with ``_doc``) leads to.
+def is_usable() -> Column:
+    """A log record has a device id, and a start or a page part."""
+    parts = field("start", _RECORD).isNotNull() | field("page", _RECORD).isNotNull()
+    return F.coalesce(field("common.mid").isNotNull() & parts, F.lit(False))
+
+
+def routes(records: DataFrame) -> DataFrame:
+    """``route, value`` for each record that a log line (``value`` with ``_doc``) leads to.
 
     A start record gives its start object only.  Any other gives a ``page`` record
     without its displays and actions, and one ``display`` or ``action`` per element
     with the page id and time added.  A record with an error text is also given whole
-    as ``error``.  All routes come out of one pass; write them with
-    ``partitionBy("route")``.
+    as ``error``.  A line that is not usable is given as it is as ``dirty``.  All
+    routes come out of one pass; write them with ``partitionBy("route")``.
     """
     def one(name: str, value: Column) -> Column:
         return F.array(_routed(name, value))
@@ -79,7 +85,8 @@ def routes(valid: DataFrame) -> DataFrame:
         one("page", without("displays", "actions")),
         elements("displays", "display"), elements("actions", "action")))
     failed = F.when(F.coalesce(field("error"), F.lit("")) != "", one("error", without())).otherwise(none)
-    return valid.select(F.explode(F.concat(usual, failed)).alias("_r")).select("_r.route", "_r.value")
+    every = F.when(is_usable(), F.concat(usual, failed)).otherwise(one("dirty", F.col("value")))
+    return records.select(F.explode(every).alias("_r")).select("_r.route", "_r.value")
 
 
 def _routed(name: str, value: Column) -> Column:

@@ -43,11 +43,8 @@ def split_log(lines: DataFrame, store: Callable[[DataFrame], DataFrame] | None =
 
 def log_records(lines: DataFrame) -> DataFrame:
     """``value, mid, is_new, event_time`` and whether the line is a usable record."""
-    usable = (parse.field("common.mid").isNotNull()
-              & (parse.field("start", "map<string,variant>").isNotNull()
-                 | parse.field("page", "map<string,variant>").isNotNull()))
     frame = parse.parsed(lines.select("value"))
-    return frame.select("value", *parse.log_keys(), F.coalesce(usable, F.lit(False)).alias("usable"))
+    return frame.select("value", *parse.log_keys(), parse.is_usable().alias("usable"))
 
 
 def corrected_routes(fixed: DataFrame) -> DataFrame:
