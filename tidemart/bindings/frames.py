@@ -18,7 +18,8 @@ class Tables:
     """The tables of one folder, with timestamps as instants."""
 
     # Tables whose rows are costly to shape, and a key that spreads them.
-    SPREAD = {"lineitem": "l_orderkey", "documents": "doc_id"}
+    SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id",
+              "events": "event_id"}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tune(spark, "UTC"), folder
