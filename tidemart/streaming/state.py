@@ -138,9 +138,12 @@ class Bounces(_Ordered):
         self.waiting = handle.getListState("waiting", self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        new = list(rows)
-        self.waiting.appendList([_plain(r) for r in new])
-        self.handle.registerTimer(min(_millis(r[self.order[0]]) for r in new) + self.within)
+        # What came before the watermark may have been judged already: such rows are late.
+        now = timerValues.getCurrentWatermarkInMs()
+        new = [r for r in rows if _millis(r[self.order[0]]) >= now]
+        if new:
+            self.waiting.appendList([_plain(r) for r in new])
+            self.handle.registerTimer(min(_millis(r[self.order[0]]) for r in new) + self.within)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
