@@ -75,8 +75,8 @@ SELECT o_orderkey, o_orderstatus, l_partkey, l_extendedprice FROM orders LEFT JO
 def unwindowed_left_join(t):
     """Orders with their lines; orders without one are kept."""
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice")
-    both = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return both.select("o_orderkey", "o_orderstatus", "l_partkey", "l_extendedprice")
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    return joins.left_join(orders, lines, "o_orderkey", "l_orderkey").select("o_orderkey", "o_orderstatus", "l_partkey", "l_extendedprice")
 
 
 @query("two_input_join", f"""

@@ -5,7 +5,10 @@ Results go to a table in the shared folder and are read back from there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import contextlib
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.bindings import frames
 from tidemart.bindings.registry import ENTRIES, PAGES, bounces, query, span, text
@@ -31,18 +34,33 @@ class StreamTables(frames.Tables):
             f"{self.folder}/{name}.parque[t]"))
 
 
+@contextlib.contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """No more state partitions than twice the cores: each costs time to open."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _appended(t: frames.Tables, df: DataFrame, name: str) -> DataFrame:
     """Run an append-mode stream to its end and read what it wrote."""
     base = shared_dir(t.spark, name)
-    jobs.start(for_each(df, append_batches(f"{base}/table"), f"{base}/checkpoint")).awaitTermination()
+    with _state_partitions(t.spark):
+        jobs.start(for_each(df, append_batches(f"{base}/table"),
+                            f"{base}/checkpoint")).awaitTermination()
     return t.spark.read.schema(df.schema).parquet(f"{base}/table").drop(BATCH)
 
 
 def _upserted(t: frames.Tables, df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """Run an update-mode stream to its end and read the last row per key."""
     base = shared_dir(t.spark, name)
-    jobs.start(for_each(df, upsert_batches(f"{base}/table", keys), f"{base}/checkpoint",
-                        "update")).awaitTermination()
+    with _state_partitions(t.spark):
+        jobs.start(for_each(df, upsert_batches(f"{base}/table", keys), f"{base}/checkpoint",
+                            "update")).awaitTermination()
     return read_upserted(t.spark, f"{base}/table", keys)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemart.fixed import DEFAULT_PK, DIMENSION_TYPES
 from tidemart.operators.changelog import flatten_envelopes
 from tidemart.operators.keyed import latest_by_key
+from tidemart.operators.skew import checked_broadcast, skewed_join
 from tidemart.schemas import TABLE_CONFIG
 
 
@@ -32,13 +33,17 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Changes of configured tables, cut down to the configured columns.
 
     Adds ``sink_table`` and ``sink_pk``.  Other tables and change types are left out.
+    There are few source tables and one may have most of the changes, so the changes
+    must not be shuffled by table name: the configuration is broadcast after its rows
+    were counted, and a larger one is joined with the busy tables split.
     """
-    setup = config.select(F.col("source_table").alias("_source"), "sink_table", "sink_pk",
+    setup = config.select(F.col("source_table").alias("table"), "sink_table", "sink_pk",
                           F.split("sink_columns", ",").alias("_columns"))
     kept = changes.where(F.col("type").isin(*DIMENSION_TYPES))
-    joined = kept.join(setup, kept["table"] == F.col("_source"))
+    small = checked_broadcast(setup)
+    joined = kept.join(small, "table") if small is not None else skewed_join(kept, setup, ["table"])
     data = F.map_filter("data", lambda k, _: F.array_contains("_columns", k))
-    return joined.withColumn("data", data).drop("_source", "_columns")
+    return joined.withColumn("data", data).select(*changes.columns, "sink_table", "sink_pk")
 
 
 def column_list(sink_columns: str, sink_pk: str | None = None) -> list[str]:

@@ -32,6 +32,19 @@ def decode(facts: DataFrame, dictionary: DataFrame, code: str, name: str) -> Dat
     return lookup(facts, dictionary, code, "dic_code", {name: "dic_name"}, "left")
 
 
+def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join whose *right* side may be heavy on one key.
+
+    An outer join cannot split its right side, an inner join can.  So matches come
+    from an inner join, and the rows without a match from an anti join against the
+    distinct keys, which are combined before their shuffle.  Column names must differ.
+    """
+    matched = left.join(right, F.col(left_key) == F.col(right_key))
+    keys = right.select(F.col(right_key).alias("_key")).distinct()
+    alone = left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def flatten_catalog(sku: DataFrame, trademark: DataFrame, category3: DataFrame,
                     category2: DataFrame, category1: DataFrame,
                     spu: DataFrame | None = None) -> DataFrame:

@@ -21,6 +21,14 @@ def hot_keys(df: DataFrame, on: Sequence[str], most: int = 1000) -> DataFrame:
     return counts.orderBy(F.desc("_rows"), *on).limit(most).select(*on)
 
 
+def checked_broadcast(df: DataFrame, most: int = 10_000) -> DataFrame | None:
+    """The frame with a broadcast hint if it has at most ``most`` rows, else ``None``.
+
+    The rows are counted here, no further than the limit.  For set-up tables that are
+    small by nature, where an estimate is not enough to rely on."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else None
+
+
 def skewed_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
                 spread: Sequence[str] | None = None, most: int = 1000,
                 salts: int = 64) -> DataFrame:
