@@ -88,10 +88,23 @@ def test_day_marks_over_batches_equal_batch(spark, tmp_path):
     found = drain(jobs.day_marks(feed.stream(), "k", "ts", ["id"]), tmp_path)
     whole = spark.createDataFrame(rows, "id int, k string, ts timestamp")
     days = keyed.returning(keyed.new_and_daily(keyed.first_times(whole, ["k"], "ts"), "k"), "k")
-    expected = sorted((r.k, r.date, r.is_first_day, r.is_back) for r in days.collect())
+    expected = sorted((r.k, str(r.date), r.is_first_day, r.is_back) for r in days.collect())
     assert sorted((r["k"], r["day"], r["is_first_day"], r["is_back"]) for r in found) == expected
 
 
+def test_state_then_window_in_one_query(spark, tmp_path):
+    pages = Feed(spark, tmp_path, "common struct<uid:string>, page struct<last_page_id:string>, event_time timestamp")
+
+    def entry(uid, when):
+        return ((uid,), (None,), when)
+    pages.add([entry("a", at(0)), entry("b", at(3)), entry(None, at(4))], [entry("a", at(5)), entry("c", at(11))],
+              [entry("a", at(0, 9)), entry("b", at(1, 1))], [entry("z", at(0, 30))], [entry("z", at(0, 31))])
+    found = drain(jobs.login_window(pages.stream(), delay="10 days"), tmp_path)
+    assert sorted((r["stt"], r["uu_ct"], r["back_ct"]) for r in found) == [
+        ("2024-03-01 12:00:00", 2, 0), ("2024-03-01 12:00:10", 1, 0),
+        ("2024-03-02 12:00:00", 1, 0), ("2024-03-10 12:00:00", 1, 1)]
+
+
 def test_new_flag_and_toggle_over_batches(spark, tmp_path):
     rng = random.Random(7)
     rows = sorted(((i, rng.choice("abcd"), rng.choice(["0", "1", "1"]), at(rng.randrange(200_000))) for i in range(120)),

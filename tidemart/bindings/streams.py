@@ -131,7 +131,7 @@ def stream_logins(t):
     """Daily logins with first-day and returning marks, from state."""
     marked = jobs.day_marks(users.logins(frames.pages(StreamTables(t))), "uid", "event_time", gap=3)
     return _appended(t, marked, "logins").select(
-        "uid", F.col("day").cast("string").alias("day"), "is_first_day", "is_back")
+        "uid", "day", "is_first_day", "is_back")
 
 
 @query("stream_toggle_filter", """
@@ -158,3 +158,15 @@ def stream_interval_join(t):
     pairs = joins.stream_interval_join(views, clicks, "user_id", "click_user", "view_ts",
                                        "click_ts", "-6 hours", "6 hours")
     return _appended(t, pairs.select("user_id", "view_id", "click_id"), "interval")
+
+
+@query("stream_login_window", f"""
+WITH {ENTRIES}, d AS (
+  SELECT uid, CAST(t AS DATE) AS day, min(t) AS t FROM entries GROUP BY ALL),
+g AS (SELECT *, day - lag(day) OVER (PARTITION BY uid ORDER BY day) AS gap FROM d)
+SELECT {span('t', DAY)}, count(*) FILTER (gap > 3) AS back_ct, count(*) AS uu_ct
+FROM g GROUP BY stt, edt""")
+def stream_login_window(t):
+    """Daily logins: state and window in one streaming query."""
+    totals = jobs.login_window(frames.pages(StreamTables(t)), "1 day", gap=3)
+    return _upserted(t, totals, "login-window", ["stt"])

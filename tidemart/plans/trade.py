@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemart import fixed
-from tidemart.functions.money import line_amount, money, money_or_zero, total
+from tidemart.functions.money import MONEY, line_amount, money, money_or_zero, total
 from tidemart.functions.times import date_id, datetime_of, day_text, seconds_of
 from tidemart.operators.changelog import changed_to, increase, table_rows
 from tidemart.operators.joins import decode, lookup
@@ -134,18 +134,29 @@ def latest_details(details: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     return latest_by_key(details, ["id"], ["row_op_ts"], ties)
 
 
+def timed(rows: DataFrame, *columns: str) -> DataFrame:
+    """``user_id, event_time`` of change-log times, and further columns."""
+    return rows.select("user_id", *columns, seconds_of(F.col("ts")).alias("event_time"))
+
+
 def cart_window(carts: DataFrame, size: str = "10 seconds") -> DataFrame:
     """Users by their first addition to a cart of the day."""
-    timed = carts.select("user_id", seconds_of(F.col("ts")).alias("event_time"))
-    firsts = first_times(timed, ["user_id"], "event_time")
+    return cart_totals(first_times(timed(carts), ["user_id"], "event_time"), size)
+
+
+def cart_totals(firsts: DataFrame, size: str) -> DataFrame:
     return windowed(firsts, "event_time", size, [F.count("*").alias("cart_add_uu_ct")])
 
 
 def payment_window(payments: DataFrame, size: str = "10 seconds") -> DataFrame:
     """Users by their first payment of the day, and those who pay for the first time."""
-    timed = payments.select("user_id", "callback_time", seconds_of(F.col("ts")).alias("event_time"))
-    days = first_times(timed, ["user_id"], "event_time", day_of=day_text(F.col("callback_time")))
-    return windowed(new_and_daily(days, "user_id"), "event_time", size, [
+    days = first_times(timed(payments, "callback_time"), ["user_id"], "event_time",
+                       day_of=day_text(F.col("callback_time")))
+    return payment_totals(new_and_daily(days, "user_id"), size)
+
+
+def payment_totals(days: DataFrame, size: str) -> DataFrame:
+    return windowed(days, "event_time", size, [
         F.count("*").alias("payment_suc_unique_user_count"),
         F.sum("is_first_day").alias("payment_suc_new_user_count")])
 
@@ -161,26 +172,33 @@ def order_window(details: DataFrame, size: str = "10 seconds",
     """
     if amounts not in ("first", "all"):
         raise ValueError("amounts is 'first' or 'all'")
-    rows = details.select(
+    rows = order_rows(details)
+    order = F.struct("event_time", "id")
+    days = rows.groupBy("user_id", "date").agg(
+        F.min_by(F.struct("event_time", *AMOUNTS), order).alias("f"))
+    days = new_and_daily(days.select("user_id", "date", "f.*"), "user_id")
+    counted = days.select("event_time", F.lit(1).alias("unique"), F.col("is_first_day").alias("new"), *AMOUNTS)
+    if amounts == "all":
+        none, zero = F.lit(0).cast(MONEY), F.lit(0).cast("bigint")
+        counted = counted.withColumns({c: none for c in AMOUNTS}).unionByName(rows.select(
+            "event_time", F.lit(0).alias("unique"), zero.alias("new"), *AMOUNTS))
+    return order_totals(counted, size)
+
+
+AMOUNTS = ("activity", "coupon", "original")
+
+
+def order_rows(details: DataFrame) -> DataFrame:
+    return details.select(
         "user_id", "id", datetime_of(F.col("detail_create_time")).alias("event_time"),
         day_text(F.col("detail_create_time")).alias("date"),
         money_or_zero(F.col("split_activity_amount")).alias("activity"),
         money_or_zero(F.col("split_coupon_amount")).alias("coupon"),
         money(F.col("split_original_total_amount")).alias("original"))
-    order = F.struct("event_time", "id")
-    days = rows.groupBy("user_id", "date").agg(
-        F.min_by(F.struct("event_time", "activity", "coupon", "original"), order).alias("f"))
-    days = new_and_daily(days.select("user_id", "date", "f.*"), "user_id")
-    users = days.select("event_time", F.lit(1).alias("unique"),
-                        F.col("is_first_day").alias("new"), "activity", "coupon", "original")
-    if amounts == "all":
-        none = F.lit(0).cast("decimal(16,2)")
-        zero = F.lit(0).cast("bigint")
-        users = users.withColumns({c: none for c in ("activity", "coupon", "original")})
-        users = users.unionByName(rows.select(
-            "event_time", F.lit(0).alias("unique"), zero.alias("new"),
-            "activity", "coupon", "original"))
-    return windowed(users, "event_time", size, [
+
+
+def order_totals(counted: DataFrame, size: str) -> DataFrame:
+    return windowed(counted, "event_time", size, [
         F.sum("unique").alias("order_unique_user_count"),
         F.sum("new").alias("order_new_user_count"),
         total(F.col("activity")).alias("order_activity_reduce_amount"),

@@ -105,9 +105,15 @@ def page_view_totals(measures: DataFrame, size: str = "10 seconds") -> DataFrame
 
 def home_detail_window(pages: DataFrame, size: str = "3 seconds") -> DataFrame:
     """Daily unique visitors of the home page and of the product page."""
-    two = pages.where(F.col("page.page_id").isin(HOME_PAGE, DETAIL_PAGE)).select(
+    return home_detail_totals(first_times(home_and_detail(pages), ["mid", "page_id"], "event_time"), size)
+
+
+def home_and_detail(pages: DataFrame) -> DataFrame:
+    return pages.where(F.col("page.page_id").isin(HOME_PAGE, DETAIL_PAGE)).select(
         F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "event_time")
-    firsts = first_times(two, ["mid", "page_id"], "event_time")
+
+
+def home_detail_totals(firsts: DataFrame, size: str) -> DataFrame:
     return windowed(firsts, "event_time", size, [
         F.count_if(F.col("page_id") == HOME_PAGE).alias("home_uv_ct"),
         F.count_if(F.col("page_id") == DETAIL_PAGE).alias("good_detail_uv_ct")])

@@ -21,7 +21,10 @@ def register_detail(log: DataFrame) -> DataFrame:
 
 def register_window(registered: DataFrame, size: str = "10 seconds") -> DataFrame:
     """New users per window of the change time."""
-    timed = registered.withColumn("event_time", seconds_of(F.col("ts")))
+    return register_totals(registered.withColumn("event_time", seconds_of(F.col("ts"))), size)
+
+
+def register_totals(timed: DataFrame, size: str) -> DataFrame:
     return windowed(timed, "event_time", size, [F.count("*").alias("register_ct")])
 
 
@@ -34,6 +37,9 @@ def logins(pages: DataFrame) -> DataFrame:
 def login_window(pages: DataFrame, size: str = "10 seconds", gap: int = 7) -> DataFrame:
     """Users per window of their first login of the day, and among them those back
     after more than ``gap`` days."""
-    days = returning(first_times(logins(pages), ["uid"], "event_time"), "uid", gap=gap)
+    return login_totals(returning(first_times(logins(pages), ["uid"], "event_time"), "uid", gap=gap), size)
+
+
+def login_totals(days: DataFrame, size: str) -> DataFrame:
     return windowed(days, "event_time", size, [F.sum("is_back").alias("back_ct"),
                                                F.count("*").alias("uu_ct")])

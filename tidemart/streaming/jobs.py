@@ -9,9 +9,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemart import fixed
 from tidemart.functions.durations import micros
+from tidemart.functions.times import day_text, seconds_of
 from tidemart.operators import dims, parse
 from tidemart.operators.windows import bounds
-from tidemart.plans import trade, traffic
+from tidemart.plans import trade, traffic, users
 from tidemart.sinks import BATCH, BatchWriter
 from tidemart.streaming import state
 
@@ -75,10 +76,44 @@ def sliding_distinct(df: DataFrame, ts: str, keys: Sequence[str], value: str, si
 
 # Users and trade.
 
-def day_marks(df: DataFrame, user: str, ts: str, ties: Sequence[str] = (), gap: int = 7) -> DataFrame:
-    """First row of each user and day with ``is_first_day`` and ``is_back``."""
-    dated = df.withColumn("_day", F.to_date(F.col(ts)))
-    return state.day_marks(dated, user, ts, "_day", ties, gap).withColumnRenamed("_day", "day")
+def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, ties: Sequence[str] = (),
+              gap: int = 7, delay: str | None = None) -> DataFrame:
+    """First row of each key and day with ``day``, ``is_first_day`` and ``is_back``."""
+    dated = df.withColumn("day", F.date_format(F.col(ts), fixed.DATE_FORMAT))
+    return state.day_marks(dated, keys, ts, "day", ties, gap, delay)
+
+
+def home_detail_window(pages: DataFrame, size: str = "3 seconds", delay: str = "1 second") -> DataFrame:
+    two = traffic.home_and_detail(pages)
+    return traffic.home_detail_totals(day_marks(two, ["mid", "page_id"], "event_time", delay=delay), size)
+
+
+def login_window(pages: DataFrame, size: str = "10 seconds", gap: int = 7,
+                 delay: str = "2 seconds") -> DataFrame:
+    marked = day_marks(users.logins(pages), "uid", "event_time", gap=gap, delay=delay)
+    return users.login_totals(marked, size)
+
+
+def register_window(registered: DataFrame, size: str = "10 seconds", delay: str = "1 second") -> DataFrame:
+    timed = registered.withColumn("event_time", seconds_of(F.col("ts"))).withWatermark("event_time", delay)
+    return users.register_totals(timed, size)
+
+
+def cart_window(carts: DataFrame, size: str = "10 seconds", delay: str = "2 seconds") -> DataFrame:
+    marked = day_marks(trade.timed(carts), "user_id", "event_time", delay=delay)
+    return trade.cart_totals(marked, size)
+
+
+def payment_window(payments: DataFrame, size: str = "10 seconds", delay: str = "2 seconds") -> DataFrame:
+    dated = trade.timed(payments, "callback_time").withColumn("day", day_text(F.col("callback_time")))
+    marked = state.day_marks(dated, "user_id", "event_time", "day", delay=delay)
+    return trade.payment_totals(marked, size)
+
+
+def order_window(latest: DataFrame, size: str = "10 seconds", delay: str = "2 seconds") -> DataFrame:
+    """``latest`` is a stream of one row per detail, see ``state.latest_after_delay``."""
+    marked = state.day_marks(trade.order_rows(latest), "user_id", "event_time", "date", ["id"], delay=delay)
+    return trade.order_totals(marked.withColumn("unique", F.lit(1)).withColumnRenamed("is_first_day", "new"), size)
 
 
 WIDE_SOURCES = (fixed.ORDER_DETAIL, fixed.ORDER_INFO, fixed.ORDER_DETAIL_ACTIVITY,

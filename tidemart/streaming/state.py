@@ -61,34 +61,47 @@ class DayMarks(_Ordered):
     """
 
     def __init__(self, ts: str, day: str, ties: Sequence[str] = (), gap: int = 7,
-                 ttl_ms: int | None = None):
+                 timely: bool = False):
         super().__init__(ts, ties)
-        self.day, self.gap, self.ttl = day, gap, ttl_ms
+        self.day, self.gap, self.timely = day, gap, timely
 
     def init(self, handle) -> None:
-        self.last = handle.getValueState("last", "day date", self.ttl)
+        self.last = handle.getValueState("last", "day string")
 
     def handleInputRows(self, key, rows, timerValues):
+        if self.timely:
+            now = timerValues.getCurrentWatermarkInMs()
+            rows = (r for r in rows if _millis(r[self.order[0]]) >= now)
         last = self.last.get()[0] if self.last.exists() else None
         before = last
         for row in self.sorted(rows):
             day = row[self.day]
             if day == last:
                 continue
-            back = last is not None and (day - last).days > self.gap
+            back = last is not None and (_date(day) - _date(last)).days > self.gap
             yield Row(**row.asDict(), is_first_day=int(last is None), is_back=int(back))
             last = day
         if last != before:
             self.last.update((last,))
 
 
-def day_marks(df: DataFrame, key: str, ts: str, day: str, ties: Sequence[str] = (),
-              gap: int = 7, ttl_ms: int | None = None) -> DataFrame:
-    """Adds ``is_first_day`` and ``is_back``; without a ``ttl_ms`` days are kept for ever."""
-    return df.groupBy(key).transformWithState(
-        DayMarks(ts, day, ties, gap, ttl_ms),
-        _with(df.schema, is_first_day=T.LongType(), is_back=T.LongType()), "append",
-        "ProcessingTime" if ttl_ms else "None")
+def _date(day: str) -> datetime.date:
+    return datetime.date.fromisoformat(day)
+
+
+def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, day: str,
+              ties: Sequence[str] = (), gap: int = 7, delay: str | None = None) -> DataFrame:
+    """Adds ``is_first_day`` and ``is_back``; ``day`` is a ``yyyy-MM-dd`` text column.
+
+    With a ``delay`` the result keeps its event time, so that a window can follow in
+    the same query: rows come out at once, and rows behind the watermark are left out.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    out = _with(df.schema, is_first_day=T.LongType(), is_back=T.LongType())
+    if delay is None:
+        return df.groupBy(*keys).transformWithState(DayMarks(ts, day, ties, gap), out, "append", "None")
+    return df.withWatermark(ts, delay).groupBy(*keys).transformWithState(
+        DayMarks(ts, day, ties, gap, timely=True), out, "append", "EventTime", eventTimeColumnName=ts)
 
 
 class NewFlag(_Ordered):
