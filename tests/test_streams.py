@@ -255,8 +255,16 @@ def test_wide_orders_over_batches_equal_batch(spark, tmp_path):
     dic = spark.createDataFrame([("1", "search", "")], schemas.DICTIONARY)
     base = str(tmp_path / "wide")
     write = jobs.order_wide_batches(base, lambda s: dic)
-    jobs.start(sinks.for_each(feed.stream(), write, str(tmp_path / "c"))).awaitTermination()
-    write(spark.createDataFrame(order_changes()[2], CHANGES), 2)   # a replay
+    sizes = []
+
+    def counted(df, batch):
+        write(df, batch)
+        sizes.append(spark.read.parquet(f"{base}/facts/batch_id={batch}").count())
+    jobs.start(sinks.for_each(jobs.order_facts(feed.stream()), counted, str(tmp_path / "c"))).awaitTermination()
+    facts = spark.read.parquet(f"{base}/facts/batch_id=2")
+    write(spark.createDataFrame(facts.collect(), facts.schema), 2)   # a replay
+    # Each micro-batch joins the rows of the orders and details that it touches, no more.
+    assert sizes == [2, 5, 6]
     kept = sinks.read_upserted(spark, f"{base}/wide", ["id", "type"], ["row_op_ts"])
     log = spark.createDataFrame([r for rows in order_changes() for r in rows], CHANGES)
 

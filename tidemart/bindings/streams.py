@@ -11,12 +11,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.bindings import frames
-from tidemart.bindings.registry import ENTRIES, PAGES, bounces, query, span, text
-from tidemart.bindings.traffic import DAY, HALF_DAY, TIES, _keyword_sql
+from tidemart.bindings.registry import DETAILS, ENTRIES, PAGES, bounces, query, span, text
+from tidemart.bindings.traffic import DAY, HALF_DAY, LOG_ROUTE_SQL, TIES, keyword_sql, route_fields
 from tidemart.operators import joins
 from tidemart.plans import keywords, traffic, users
 from tidemart.session import shared_dir
-from tidemart.sinks import BATCH, append_batches, for_each, read_upserted, upsert_batches
+from tidemart.sinks import BATCH, append_batches, for_each, read_upserted, to_files, upsert_batches
 from tidemart.streaming import jobs, state
 
 
@@ -77,7 +77,7 @@ def stream_page_view_window(t):
     return kept.select("stt", "edt", *traffic.VISIT_KEYS, "pv_ct", "sv_ct", "dur_sum")
 
 
-@query("stream_keyword_window", _keyword_sql(
+@query("stream_keyword_window", keyword_sql(
     "SELECT 'search' AS source, 'Item ' || k || ' - ' || event_type AS keyword, t FROM pages WHERE event_type = 'click'"))
 def stream_keyword_window(t):
     """Search words per day in update mode."""
@@ -170,3 +170,52 @@ def stream_login_window(t):
     """Daily logins: state and window in one streaming query."""
     totals = jobs.login_window(frames.pages(StreamTables(t)), "1 day", gap=3)
     return _upserted(t, totals, "login-window", ["stt"])
+
+
+@query("stream_home_detail_window", f"""
+WITH {PAGES}, d AS (
+  SELECT mid, event_type, CAST(t AS DATE) AS day, min(t) AS t FROM pages
+  WHERE event_type IN ('view', 'click') GROUP BY ALL)
+SELECT {span('t', 3600)}, count(*) FILTER (event_type = 'view') AS home_uv_ct,
+       count(*) FILTER (event_type = 'click') AS good_detail_uv_ct FROM d GROUP BY stt, edt""")
+def stream_home_detail_window(t):
+    """Daily visitors of two pages, per hour: state and window in one query."""
+    totals = jobs.home_detail_window(frames.pages(StreamTables(t)), "1 hour")
+    return _upserted(t, totals, "home-detail", ["stt"])
+
+
+@query("stream_register_window", f"""
+SELECT {span('ts', 3600)}, count(*) AS register_ct FROM events WHERE event_type = 'signup'
+GROUP BY stt, edt""")
+def stream_register_window(t):
+    """Registrations per hour in update mode."""
+    registered = users.register_detail(frames.user_changes(StreamTables(t)))
+    return _upserted(t, jobs.register_window(registered, "1 hour"), "register", ["stt"])
+
+
+@query("stream_log_route", LOG_ROUTE_SQL)
+def stream_log_route(t):
+    """The raw log split by one streaming query into one folder per route."""
+    base = shared_dir(t.spark, "log-route")
+    routed = jobs.split_log(frames.log_lines(StreamTables(t)))
+    with _state_partitions(t.spark):
+        jobs.start(to_files(routed, f"{base}/table", f"{base}/checkpoint")
+                   .partitionBy("route")).awaitTermination()
+    return route_fields(t.spark.read.schema(routed.schema).parquet(f"{base}/table"))
+
+
+@query("keyed_upsert", "WITH " + DETAILS + f""", latest AS (
+  SELECT * FROM details QUALIFY row_number() OVER (PARTITION BY id
+    ORDER BY t DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1)
+SELECT id, sku_id, user_id, {text('t')} AS detail_create_time FROM latest""")
+def keyed_upsert(t):
+    """Order details written in two micro-batches, one of them twice, and read back."""
+    path = shared_dir(t.spark, "upsert")
+    version = ["row_op_ts", *frames.VERSION_TIES]
+    write = upsert_batches(path, ["id"], version)
+    details = frames.details(t)
+    early = F.col("l_quantity") < 25
+    for batch, part in ((0, details.where(early)), (1, details.where(~early)), (1, details.where(~early))):
+        write(part, batch)
+    return read_upserted(t.spark, path, ["id"], version).select(
+        "id", "sku_id", "user_id", "detail_create_time")

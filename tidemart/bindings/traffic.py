@@ -46,7 +46,7 @@ def log_parse_dirty(t):
         dirty.select("event_id", F.lit("dirty").alias("route"), F.lit(None).cast("int").alias("k")))
 
 
-@query("log_route", f"""
+LOG_ROUTE_SQL = f"""
 WITH {LOG_SQL}
 SELECT 'start' AS route, NULL AS mid, NULL AS is_new, NULL AS page, CAST(k AS VARCHAR) AS item, NULL AS ms
 FROM fixed WHERE event_type = 'signup'
@@ -56,11 +56,17 @@ UNION ALL SELECT 'display', NULL, NULL, event_type, CAST(k AS VARCHAR), ms FROM
 UNION ALL SELECT 'display', NULL, NULL, event_type, CAST(k + 1 AS VARCHAR), ms FROM fixed WHERE event_type = 'view'
 UNION ALL SELECT 'action', NULL, NULL, event_type, CAST(k AS VARCHAR), ms FROM fixed WHERE event_type = 'click'
 UNION ALL SELECT 'dirty', NULL, NULL, NULL, NULL, NULL FROM log WHERE event_type = 'error' AND k < 10
-""")
+"""
+
+
+@query("log_route", LOG_ROUTE_SQL)
 def log_route(t):
     """The whole log split: six routes out of one log, read back from their JSON."""
-    out = traffic.split_log(frames.log_lines(t), lambda df: stored(df, "log"))
+    return route_fields(traffic.split_log(frames.log_lines(t), lambda df: stored(df, "log")))
+
 
+def route_fields(routed):
+    """Fields of the routed JSON records."""
     def at(path):
         return F.get_json_object("value", f"$.{path}")
 
@@ -76,7 +82,7 @@ def log_route(t):
     for name, columns in paths.items():
         named = [c.alias(n) for c, n in zip(columns, ("mid", "is_new", "page", "item", "ms"))]
         shape = F.when(F.col("route") == name, F.struct(*named)).otherwise(shape)
-    return out.select("route", shape.alias("r")).select(
+    return routed.select("route", shape.alias("r")).select(
         "route", "r.mid", "r.is_new", "r.page", "r.item", F.col("r.ms").cast("bigint").alias("ms"))
 
 
@@ -189,7 +195,7 @@ def register_window(t):
     return users.register_window(users.register_detail(frames.user_changes(t)), "1 hour")
 
 
-def _keyword_sql(rows: str) -> str:
+def keyword_sql(rows: str) -> str:
     return f"""
 WITH {PAGES}, texts AS ({rows}),
 tokens AS (SELECT source, t, unnest(regexp_extract_all(lower(keyword), '[\\p{{L}}\\p{{N}}]+')) AS keyword FROM texts)
@@ -203,7 +209,7 @@ def _document_texts(t):
     return t.documents.select("source", F.col("text").alias("keyword"), at.alias("event_time"))
 
 
-_DOCUMENTS = _keyword_sql("SELECT source, text AS keyword, make_timestamp(doc_id * 3600000000) AS t FROM documents")
+_DOCUMENTS = keyword_sql("SELECT source, text AS keyword, make_timestamp(doc_id * 3600000000) AS t FROM documents")
 
 
 @query("keyword_window", _DOCUMENTS)
@@ -220,7 +226,7 @@ def keyword_udtf(t):
     return keywords.keyword_totals(split, "1 day")
 
 
-@query("keyword_search", _keyword_sql(
+@query("keyword_search", keyword_sql(
     "SELECT 'search' AS source, 'Item ' || k || ' - ' || event_type AS keyword, t FROM pages WHERE event_type = 'click'"))
 def keyword_search(t):
     """Words of the searches in the page log."""

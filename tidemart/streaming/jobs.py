@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemart import fixed
+from tidemart import fixed, schemas
 from tidemart.functions.durations import micros
 from tidemart.functions.times import day_text, seconds_of
 from tidemart.operators import dims, parse
@@ -120,30 +120,36 @@ WIDE_SOURCES = (fixed.ORDER_DETAIL, fixed.ORDER_INFO, fixed.ORDER_DETAIL_ACTIVIT
                 fixed.ORDER_DETAIL_COUPON)
 
 
-def order_wide_batches(base: str, dictionary: Callable[[SparkSession], DataFrame],
-                       horizon: int | None = None) -> BatchWriter:
-    """Micro-batch writer of the wide order table, for change-log rows.
+def order_facts(log: DataFrame) -> DataFrame:
+    """Of a change-log stream, the rows behind each wide row that a micro-batch changes.
 
-    A left join whose sides may come in any order and be changed later cannot be one
-    streaming join.  Here each micro-batch is added to a log table, the orders that it
-    touches are joined anew from the log, and their rows are written as versions of
-    the wide table (``base``/wide, key ``id`` and ``type``, version ``row_op_ts``).
-    ``horizon`` limits the log to the last so many micro-batches, by partition.
+    A left join whose sides come in any order and change later cannot be one streaming
+    join.  The sides are kept in state per order instead; write the result with
+    :func:`order_wide_batches`, which joins it.
+    """
+    data, table = F.col("data"), F.col("table")
+    child = (F.when(table == fixed.ORDER_INFO, F.lit(None))
+              .when(table == fixed.ORDER_DETAIL, data["id"]).otherwise(data["order_detail_id"]))
+    order = F.when(table == fixed.ORDER_INFO, data["id"]).otherwise(data["order_id"])
+    rows = log.where(table.isin(*WIDE_SOURCES) & order.isNotNull())
+    facts = state.touched_facts(rows.select(
+        order.alias("order_key"), child.cast("string").alias("_child"), "table", "type", "ts",
+        F.to_json("data").alias("data"), F.to_json("old").alias("old")), "order_key")
+    return facts.withColumns({c: F.from_json(c, schemas.STRINGS) for c in ("data", "old")})
+
+
+def order_wide_batches(base: str, dictionary: Callable[[SparkSession], DataFrame]) -> BatchWriter:
+    """Micro-batch writer of the wide order table, for :func:`order_facts`.
+
+    Adds the new versions of the changed rows to ``base``/wide; read it as an upserted
+    table with key ``id`` and ``type`` and version ``row_op_ts``.  The facts are written
+    first, because the join reads them four times.
     """
     def write(df: DataFrame, batch: int) -> None:
+        facts = f"{base}/facts/{BATCH}={batch}"
+        df.write.mode("overwrite").parquet(facts)
         spark = df.sparkSession
-        order = F.when(F.col("table") == fixed.ORDER_INFO, F.col("data")["id"]).otherwise(
-            F.col("data")["order_id"])
-        rows = df.where(F.col("table").isin(*WIDE_SOURCES)).select(
-            "table", "type", "ts", "data", "old", order.alias("_order_key"))
-        log = f"{base}/log"
-        rows.write.mode("overwrite").parquet(f"{log}/{BATCH}={batch}")
-        history = spark.read.option("basePath", log).parquet(log).where(F.col(BATCH) <= batch)
-        if horizon is not None:
-            history = history.where(F.col(BATCH) > batch - horizon)
-        touched = history.where(F.col(BATCH) == batch).select("_order_key").distinct()
-        near = history.join(touched, "_order_key", "left_semi").drop("_order_key", BATCH)
-        wide = trade.order_wide(near, dictionary(spark))
+        wide = trade.order_wide(spark.read.schema(df.schema).parquet(facts), dictionary(spark))
         wide.write.mode("overwrite").parquet(f"{base}/wide/{BATCH}={batch}")
     return write
 

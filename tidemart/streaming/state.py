@@ -9,6 +9,7 @@ small: a date, a flag, one row, or the rows still waiting for the watermark.
 from __future__ import annotations
 
 import datetime
+import json
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -326,3 +327,55 @@ def two_input(orders: DataFrame, details: DataFrame, key: str, ts: str, delay: s
     return both.groupBy(key).transformWithState(
         TwoInput(key, ts, "_side", left, right, left_schema, right_schema, ttl_ms),
         out, "append", "EventTime")
+
+
+class TouchedFacts(StatefulProcessor):
+    """Gives what a micro-batch needs in order to join its changes anew.
+
+    Keyed by parent.  Rows of the parent are kept in a list, rows of its children in a
+    map by child.  A changed child comes out with all its rows and the parent's; a
+    changed parent brings all its children.  So a parent with very many children costs
+    as much as it has new ones, unless it changes itself.
+    """
+
+    def __init__(self, fields: Sequence[str]):
+        self.fields = list(fields)
+
+    def init(self, handle) -> None:
+        self.parents = handle.getListState("parents", "fact string")
+        self.children = handle.getMapState("children", "child string", "facts string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        parents, children = [], {}
+        for row in rows:
+            fact = row.asDict()
+            child = fact.pop("_child")
+            if child is None:
+                parents.append(fact)
+            else:
+                children.setdefault(child, []).append(fact)
+        for child, facts in children.items():
+            if self.children.containsKey((child,)):
+                facts[:0] = json.loads(self.children.getValue((child,))[0])
+            self.children.updateValue((child,), (json.dumps(facts),))
+        if parents:
+            self.parents.appendList([(json.dumps(p),) for p in parents])
+            every = [json.loads(facts[0]) for _, facts in self.children.iterator()]
+        else:
+            every = children.values()
+        for fact in self.parents.get() if self.parents.exists() else ():
+            yield Row(**json.loads(fact[0]))
+        for facts in every:
+            for fact in facts:
+                yield Row(**fact)
+
+    def close(self) -> None:
+        pass
+
+
+def touched_facts(df: DataFrame, parent: str) -> DataFrame:
+    """``df`` has the parent key, ``_child`` (null for rows of the parent itself) and
+    further text columns; the result has the same without ``_child``."""
+    out = df.drop("_child").schema
+    return df.groupBy(parent).transformWithState(
+        TouchedFacts(out.fieldNames()), out, "append", "None")
