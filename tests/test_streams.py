@@ -105,6 +105,37 @@ def test_state_then_window_in_one_query(spark, tmp_path):
         ("2024-03-02 12:00:00", 1, 0), ("2024-03-10 12:00:00", 1, 1)]
 
 
+def test_days_are_forgotten_and_still_count_once(spark, tmp_path):
+    """A key that is forgotten counts as new again, which daily counts do not use."""
+    feed = Feed(spark, tmp_path, "id int, k string, ts timestamp").add(
+        [(1, "a", at(0)), (2, "a", at(5))], [(3, "a", at(50)), (4, "z", at(0, 3))], [(5, "z", at(60, 3))],
+        [(6, "a", at(0, 4)), (7, "a", at(9, 4))])
+    found = drain(jobs.day_marks(feed.stream(), "k", "ts", ["id"], delay="60 seconds", keep_ms=86_400_000), tmp_path)
+    assert sorted((r["id"], r["is_first_day"]) for r in found) == [(1, 1), (4, 1), (6, 1)]
+
+
+def test_trade_windows_over_batches_equal_batch(spark, tmp_path):
+    rng = random.Random(8)
+    rows = sorted((dt.datetime(2024, 3, 1) + dt.timedelta(seconds=rng.randrange(400_000)), f"u{rng.randrange(4)}", str(i))
+                  for i in range(80))
+
+    def shop(r):
+        return (r[2], r[1], str(int(r[0].timestamp())), f"{r[0]:%Y-%m-%d %H:%M:%S}", "2.50", "0.10", None)
+    schema = ("id string, user_id string, ts string, detail_create_time string, split_original_total_amount string, "
+              "split_activity_amount string, split_coupon_amount string")
+    data = [shop(r) for r in rows]
+    feed = Feed(spark, tmp_path, schema).add(*[data[i:i + 30] for i in range(0, 80, 30)])
+    whole = spark.createDataFrame(data, schema)
+    pay = {"callback_time": F.col("detail_create_time")}
+    for name, stream, batch in (
+            ("cart", jobs.cart_window(feed.stream(), "1 hour"), trade.cart_window(whole, "1 hour")),
+            ("pay", jobs.payment_window(feed.stream().withColumns(pay), "1 hour"),
+             trade.payment_window(whole.withColumns(pay), "1 hour")),
+            ("order", jobs.order_window(feed.stream(), "1 hour"), trade.order_window(whole, "1 hour"))):
+        latest = {r["stt"]: tuple(r.values()) for r in drain(stream, tmp_path, "update", name)}
+        assert sorted(latest.values()) == sorted(map(tuple, batch.collect())), name
+
+
 def test_new_flag_and_toggle_over_batches(spark, tmp_path):
     rng = random.Random(7)
     rows = sorted(((i, rng.choice("abcd"), rng.choice(["0", "1", "1"]), at(rng.randrange(200_000))) for i in range(120)),

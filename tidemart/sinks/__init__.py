@@ -103,19 +103,3 @@ def for_each(df: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "ap
     """Run a batch writer on each micro-batch of a stream."""
     return (df.writeStream.outputMode(mode).foreachBatch(write)
               .option("checkpointLocation", checkpoint))
-
-
-def split_batches(split: Callable[[DataFrame], dict[str, DataFrame]], base: str) -> BatchWriter:
-    """Write several frames made from one micro-batch, each under its own name.
-
-    The micro-batch is kept while its parts are written, so it is read and parsed
-    once.  Dead letters are one of the parts.
-    """
-    def write(df: DataFrame, batch: int) -> None:
-        kept = df.persist()
-        try:
-            for name, part in split(kept).items():
-                _write_batch(part, batch, f"{base}/{name}")
-        finally:
-            kept.unpersist()
-    return write

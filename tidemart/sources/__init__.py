@@ -99,8 +99,8 @@ def dictionary(table: DataFrame) -> DataFrame:
 def snapshot_then_changes(snapshot: DataFrame, table: str, envelopes: DataFrame) -> DataFrame:
     """A table's rows as snapshot changes, together with the changes made to it later.
 
-    For a streaming ``envelopes`` load the snapshot first (see
-    ``streaming.jobs.dimension_stream``); a stream cannot be unioned with a batch.
+    A stream cannot be unioned with a batch: for streaming ``envelopes`` write the
+    snapshot as the first files of the stream's folder or topic.
     """
     image = F.map_from_arrays(F.array(*[F.lit(c) for c in snapshot.columns]),
                               F.array(*[F.col(c).cast("string") for c in snapshot.columns]))

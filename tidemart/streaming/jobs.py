@@ -77,15 +77,19 @@ def sliding_distinct(df: DataFrame, ts: str, keys: Sequence[str], value: str, si
 # Users and trade.
 
 def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, ties: Sequence[str] = (),
-              gap: int = 7, delay: str | None = None) -> DataFrame:
+              gap: int = 7, delay: str | None = None, keep_ms: int | None = None) -> DataFrame:
     """First row of each key and day with ``day``, ``is_first_day`` and ``is_back``."""
     dated = df.withColumn("day", F.date_format(F.col(ts), fixed.DATE_FORMAT))
-    return state.day_marks(dated, keys, ts, "day", ties, gap, delay)
+    return state.day_marks(dated, keys, ts, "day", ties, gap, delay, keep_ms)
+
+
+_ONE_DAY = 86_400_000
 
 
 def home_detail_window(pages: DataFrame, size: str = "3 seconds", delay: str = "1 second") -> DataFrame:
     two = traffic.home_and_detail(pages)
-    return traffic.home_detail_totals(day_marks(two, ["mid", "page_id"], "event_time", delay=delay), size)
+    firsts = day_marks(two, ["mid", "page_id"], "event_time", delay=delay, keep_ms=_ONE_DAY)
+    return traffic.home_detail_totals(firsts, size)
 
 
 def login_window(pages: DataFrame, size: str = "10 seconds", gap: int = 7,
@@ -100,7 +104,7 @@ def register_window(registered: DataFrame, size: str = "10 seconds", delay: str
 
 
 def cart_window(carts: DataFrame, size: str = "10 seconds", delay: str = "2 seconds") -> DataFrame:
-    marked = day_marks(trade.timed(carts), "user_id", "event_time", delay=delay)
+    marked = day_marks(trade.timed(carts), "user_id", "event_time", delay=delay, keep_ms=_ONE_DAY)
     return trade.cart_totals(marked, size)
 
 

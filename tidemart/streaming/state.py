@@ -62,28 +62,36 @@ class DayMarks(_Ordered):
     """
 
     def __init__(self, ts: str, day: str, ties: Sequence[str] = (), gap: int = 7,
-                 timely: bool = False):
+                 timely: bool = False, keep_ms: int | None = None):
         super().__init__(ts, ties)
-        self.day, self.gap, self.timely = day, gap, timely
+        self.day, self.gap, self.timely, self.keep = day, gap, timely, keep_ms
 
     def init(self, handle) -> None:
-        self.last = handle.getValueState("last", "day string")
+        self.handle = handle
+        self.last = handle.getValueState("last", "day string, at bigint")
 
     def handleInputRows(self, key, rows, timerValues):
         if self.timely:
             now = timerValues.getCurrentWatermarkInMs()
             rows = (r for r in rows if _millis(r[self.order[0]]) >= now)
         last = self.last.get()[0] if self.last.exists() else None
-        before = last
+        before, at = last, None
         for row in self.sorted(rows):
             day = row[self.day]
             if day == last:
                 continue
             back = last is not None and (_date(day) - _date(last)).days > self.gap
             yield Row(**row.asDict(), is_first_day=int(last is None), is_back=int(back))
-            last = day
+            last, at = day, _millis(row[self.order[0]])
         if last != before:
-            self.last.update((last,))
+            self.last.update((last, at))
+            if self.keep is not None:
+                self.handle.registerTimer(at + self.keep)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.last.exists() and self.last.get()[1] + self.keep <= timerValues.getCurrentWatermarkInMs():
+            self.last.clear()
+        return iter(())
 
 
 def _date(day: str) -> datetime.date:
@@ -91,18 +99,23 @@ def _date(day: str) -> datetime.date:
 
 
 def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, day: str,
-              ties: Sequence[str] = (), gap: int = 7, delay: str | None = None) -> DataFrame:
+              ties: Sequence[str] = (), gap: int = 7, delay: str | None = None,
+              keep_ms: int | None = None) -> DataFrame:
     """Adds ``is_first_day`` and ``is_back``; ``day`` is a ``yyyy-MM-dd`` text column.
 
     With a ``delay`` the result keeps its event time, so that a window can follow in
     the same query: rows come out at once, and rows behind the watermark are left out.
+    ``keep_ms`` after its last counted row a key is forgotten; a day or more is enough
+    to count each key once a day, while the marks need the days for ever.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if keep_ms is not None and delay is None:
+        raise ValueError("forgetting keys needs a watermark delay")
     out = _with(df.schema, is_first_day=T.LongType(), is_back=T.LongType())
     if delay is None:
         return df.groupBy(*keys).transformWithState(DayMarks(ts, day, ties, gap), out, "append", "None")
     return df.withWatermark(ts, delay).groupBy(*keys).transformWithState(
-        DayMarks(ts, day, ties, gap, timely=True), out, "append", "EventTime", eventTimeColumnName=ts)
+        DayMarks(ts, day, ties, gap, True, keep_ms), out, "append", "EventTime", eventTimeColumnName=ts)
 
 
 class NewFlag(_Ordered):
