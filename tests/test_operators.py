@@ -330,6 +330,12 @@ def test_times(spark):
     assert one(spark, times.day_gap(F.lit("2024-03-01"), F.lit("2024-02-28"))) == (2,)
 
 
+def test_on_day_takes_timestamps_and_text(spark):
+    late, next_day = (F.to_timestamp(F.lit(t)) for t in ("2024-03-01 23:59:59", "2024-03-02 00:00:00"))
+    assert one(spark, times.on_day(late, 20240301), times.on_day(next_day, 20240301),
+               times.on_day(F.lit("2024-03-01 23:59:59"), 20240301)) == (True, False, True)
+
+
 def test_time_zone_is_used_both_ways(spark):
     spark.conf.set("spark.sql.session.timeZone", "GMT+8")
     try:
@@ -404,5 +410,7 @@ def test_reports(spark):
                                 ("2024-03-02 00:00:00", "N", 1, 9.0)], "stt string, province_name string, order_count bigint, order_amount double")
     assert reports.gmv(df, 20240301).first().gmv == 3.01
     assert reports.gmv(df, 20240310).first().gmv is None
+    now = df.withColumn("stt", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
+    assert reports.gmv(now).first().gmv == 12.01 and reports.gmv(df).first().gmv is None
     row = reports.orders_by_province(df, 20240301).first()
     assert (row.name, row.size_value, row.tooltip_values) == ("N", 3, [3])

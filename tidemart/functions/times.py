@@ -75,16 +75,12 @@ def window_seconds(ts: Column) -> Column:
     return F.unix_timestamp(window_text(ts), DATETIME_FORMAT)
 
 
-def on_day(ts: Column, day: int) -> Column:
-    """Rows of one day given as ``yyyymmdd``.
+def on_day(ts: Column, day: int | None = None) -> Column:
+    """Rows of one day given as ``yyyymmdd``, or of today.
 
-    Two comparisons with literals, so that the filter reaches the file scan; a
+    Two comparisons with constants, so that the filter reaches the file scan; a
     formatted date could not.  ``ts`` may be a timestamp or a date-time text.
     """
-    date = datetime.datetime.strptime(str(day), "%Y%m%d")
-    low, high = (f"{d:%Y-%m-%d} 00:00:00" for d in (date, date + datetime.timedelta(days=1)))
-    return (ts >= F.lit(low)) & (ts < F.lit(high))
-
-
-def today_number() -> Column:
-    return F.date_format(F.current_timestamp(), "yyyyMMdd").cast("int")
+    date = F.current_date() if day is None else F.lit(datetime.datetime.strptime(str(day), "%Y%m%d").date())
+    low, high = (F.date_format(d, f"{DATE_FORMAT} 00:00:00") for d in (date, F.date_add(date, 1)))
+    return (ts >= low) & (ts < high)
