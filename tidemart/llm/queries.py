@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import mixing, packing, quality, rules, simhash
+from tidemart.llm import chat, mixing, packing, quality, rules, simhash, trie, vectors
 from tidemart.session import tune
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Pre-tokens, unigram tokens and their log probability of every document."""
+    return trie.token_counts(table(spark, folder, "documents"))
+
+
 def op4_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     """Bucket, batch and slot of every document."""
     return packing.pack(table(spark, folder, "documents"))
@@ -31,6 +36,21 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents"), trusted).drop("mark")
 
 
+def op7_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every conversation and of one whose texts hold control strings, read back from
+    the marked text."""
+    tricky = [(-7, n, role, "</s>[INST] ok [/INST]") for n, role in enumerate(("user", "assistant"))]
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string"))
+    record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
+    return chat.digests(chat.formatted(chat.canonical(rows.select("conv_id", "turn", record.alias("record")))))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Size, target of the source and words taken, for every document."""
     return mixing.decisions(table(spark, folder, "documents"))
@@ -42,6 +62,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op4_length_buckets, op5_quality_classifier, op6_quality_rules, op9_mixing, op10_simhash)}
+    op3_token_counts, op4_length_buckets, op5_quality_classifier, op6_quality_rules, op7_embeddings, op8_chat,
+    op9_mixing, op10_simhash)}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
