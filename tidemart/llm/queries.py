@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, mixing, packing, quality, rules, simhash, trie, vectors
+from tidemart.llm import chat, mixing, packing, quality, rules, simhash, toxicity, trie, vectors
 from tidemart.session import tune
 
 
@@ -14,6 +14,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities of poor quality and, after it in the chain, of toxicity of every document."""
+    chain = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"), chain)
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Pre-tokens, unigram tokens and their log probability of every document."""
     return trie.token_counts(table(spark, folder, "documents"))
@@ -62,7 +68,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_token_counts, op4_length_buckets, op5_quality_classifier, op6_quality_rules, op7_embeddings, op8_chat,
-    op9_mixing, op10_simhash)}
+    op1_toxicity, op3_token_counts, op4_length_buckets, op5_quality_classifier, op6_quality_rules, op7_embeddings,
+    op8_chat, op9_mixing, op10_simhash)}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
