@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, mixing, packing, quality, rules, simhash, toxicity, trie, vectors
+from tidemart.llm import chat, classes, mixing, packing, quality, rules, simhash, toxicity, trie, vectors
 from tidemart.session import tune
 
 
@@ -20,6 +20,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"), chain)
 
 
+def op2_class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    """Class bigram and unigram scores of every document."""
+    return classes.judge(table(spark, folder, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Pre-tokens, unigram tokens and their log probability of every document."""
     return trie.token_counts(table(spark, folder, "documents"))
@@ -68,7 +73,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_toxicity, op3_token_counts, op4_length_buckets, op5_quality_classifier, op6_quality_rules, op7_embeddings,
-    op8_chat, op9_mixing, op10_simhash)}
+    op1_toxicity, op2_class_ngrams, op3_token_counts, op4_length_buckets, op5_quality_classifier, op6_quality_rules,
+    op7_embeddings, op8_chat, op9_mixing, op10_simhash)}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
