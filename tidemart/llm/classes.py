@@ -132,7 +132,8 @@ def best_class(square: np.ndarray, now: int, after: np.ndarray, before: np.ndarr
     own = rest.diagonal()
     gain -= (_f(own + after) - _f(own)) + (_f(own + before) - _f(own))
     gain += _f(own + after + before + self_n) - _f(own)
-    for side, more in ((rest.sum(axis=1), after.sum() + self_n), (rest.sum(axis=0), before.sum() + self_n)):
+    for side, more in ((square.sum(axis=1), after.sum() + self_n), (square.sum(axis=0), before.sum() + self_n)):
+        side[now] = max(side[now] - more, 0)
         gain -= _f(side + more) - _f(side)
     gain[:first] = -np.inf
     best = int(gain.argmax())
