@@ -4,7 +4,8 @@ Categories are predicted in their order by logistic regressions on the words a t
 also gets the log odds of the earlier categories.  While it is trained these come out of fold: a
 row's come from a model that has not seen the row.  All folds of a category are fitted side by
 side, one task each, on a bounded sample of labelled documents (``sample_docs``); the words that
-tell a category best, ``features`` for each, are chosen by chi-squared counts over that sample.
+tell a category best, at most ``features`` for each, are chosen by chi-squared counts over that
+sample; words below ``LEAST_CHI`` tell no more than chance would.
 The model is that many weights per category, and every whole document is scored.
 
 Defined results: null and empty texts hold no words and are scored by what remains; an id
@@ -29,6 +30,7 @@ SAMPLE_DOCS = 20_000
 FEATURES = 2_000
 FOLDS = 5
 LEAST_DOCS = 5
+LEAST_CHI = 15.0
 ROUNDS = 250
 RATE = 0.2
 RIDGE = 1e-4
@@ -75,7 +77,8 @@ def choose_words(rows: DataFrame, categories: list[str], features: int = FEATURE
             continue
         expected = F.col(f"n_{y}") * F.lit(p / n)
         chi = F.pow(F.col(f"p_{y}") - expected, F.lit(2)) / (expected * F.lit(1 - p / n) * (1 - F.col(f"n_{y}") / F.lit(n + 1)))
-        found.update(r.word for r in counts.orderBy(chi.desc_nulls_last(), "word").limit(features).select("word").collect())
+        found.update(r.word for r in counts.where(chi >= LEAST_CHI).orderBy(chi.desc(), "word").limit(features)
+                     .select("word").collect())
     return {w: i for i, w in enumerate(sorted(found))}
 
 
