@@ -20,6 +20,7 @@ one; an empty table gives none.  Other columns are not read.
 from __future__ import annotations
 
 import base64
+import gc
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -124,10 +125,12 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, pre_token: str =
         find, trie = regex.compile(pre_token).findall, Trie(piece_trie(sent.value))
         for batch in batches:
             rows = []
+            gc.disable()  # tries hold no cycles, and looking for some takes longer than the rest
             for text in batch.column(1).to_pylist():
                 bag = Counter(found := find(text or ""))
                 n, score = trie.count(bag)
                 rows.append((len(text or ""), len(found), n, score / SCALE))
+            gc.enable()
             chars, pre, n, score = zip(*rows) if rows else ((), (), (), ())
             yield pa.record_batch([batch.column(0), pa.array(chars, pa.int64()), pa.array(pre, pa.int64()),
                                    pa.array(n, pa.int64()), pa.array(score, pa.float64())],
