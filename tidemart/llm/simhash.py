@@ -9,8 +9,8 @@ pair are tallied; pairs that reach 4 are verified by the number of differing bit
 
 Equal fingerprints are one entry.  A list longer than ``TILE`` is dealt by hash into chunks, and
 each pair of chunks is a task of its own, so no list is held whole; inside such a pair of chunks
-links found by search from one entry at a time are emitted as a spanning forest, so a dense
-group of near copies does not give all its pairs.
+what a search from one entry reaches by links is tied to that entry, so a dense group of near
+copies gives neither all its pairs nor long chains.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; equal rows
 get equal fingerprints; a component of which no document has an id has component null; an empty
@@ -116,22 +116,24 @@ def _near(x: np.ndarray) -> np.ndarray:
 
 
 def _forest(prints: np.ndarray) -> list[tuple[int, int]]:
-    """Links that hold a long list's components together; each entry is searched from once
-    and compared with those that no search has reached."""
+    """Ties from the first entry of each of a long list's components to the others, which it
+    reaches by links; each entry is searched from once and compared with those that no search
+    has reached."""
     rest, edges = np.arange(len(prints)), []
     while len(rest):
-        ahead, rest = [rest[0]], rest[1:]
+        first, rest = rest[0], rest[1:]
+        ahead = [first]
         while ahead and len(rest):
             at = ahead.pop()
             near = _near(prints[rest] ^ prints[at])
             found, rest = rest[near], rest[~near]
-            edges += [(at, j) for j in found]
+            edges += [(first, j) for j in found]
             ahead += found.tolist()
     return edges
 
 
 def link_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links ``a, b`` inside each run of equal key, lo and hi."""
+    """Links ``a, b`` inside each run of equal key, lo and hi; ties in long runs."""
     for table in runs(batches, ["key", "lo", "hi"]):
         prints = table.column("print").to_numpy().view(np.uint64)
         change = np.zeros(len(prints), dtype=bool)
@@ -160,7 +162,8 @@ def link_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def links(prints: DataFrame, tile: int = TILE) -> DataFrame:
-    """Links ``a, b`` between distinct fingerprints ``print``; enough of them for components."""
+    """Pairs ``a, b`` of distinct fingerprints ``print``, linked directly or by way of others;
+    their components are those of all links."""
     lists = postings(prints, tile).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "print")
     return lists.mapInArrow(link_postings, "a long, b long").distinct()
 
