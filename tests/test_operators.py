@@ -275,6 +275,19 @@ def test_config_routing_and_partial_upserts(spark):
     assert sorted(map(tuple, table.collect())) == [("1", "a", "6"), ("2", "b", None)]
 
 
+def test_routing_keeps_the_key_and_sets_rows_without_one_apart(spark):
+    config = dims.current_config(envelopes(spark, [
+        (1, "r", {"source_table": "sku", "sink_table": "dim_sku", "sink_pk": "id", "sink_columns": "name"})]), ["version"])
+    log = log_rows(spark, [
+        ("sku", "insert", "1", {"id": "1", "name": "a"}, None),
+        ("sku", "insert", "1", {"id": "2", "name": "b"}, None),
+        ("sku", "insert", "2", {"name": "c"}, None)])
+    routed = dims.route(log, config)
+    table = dims.upserted(routed, "dim_sku", dims.column_list("name", "id"), "id", [F.col("ts").cast("int")])
+    assert sorted(map(tuple, table.collect())) == [("1", "a"), ("2", "b")]
+    assert [r.data for r in dims.keyless(routed).collect()] == [{"name": "c"}]
+
+
 def test_dimension_table_definition():
     assert dims.column_list("name,code", "code") == ["code", "name"]
     assert [(f.name, f.nullable) for f in dims.table_schema("id,name").fields] == [("id", False), ("name", True)]

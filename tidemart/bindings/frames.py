@@ -17,19 +17,11 @@ from tidemart.session import tune
 class Tables:
     """The tables of one folder, with timestamps as instants."""
 
-    # Tables whose rows are costly to shape, and a key that spreads them.
-    SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id",
-              "events": "event_id"}
-
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = tune(spark, "UTC"), folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        # A table in a single file is read by few tasks; one of many files is left alone.
-        if name in self.SPREAD and len(df.inputFiles()) == 1:
-            df = df.repartition(self.spark.sparkContext.defaultParallelism, self.SPREAD[name])
-        df = instants(df)
+        df = instants(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
         setattr(self, name, df)
         return df
 

@@ -32,7 +32,8 @@ def current_config(envelopes: DataFrame, version: Sequence[str]) -> DataFrame:
 def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Changes of configured tables, cut down to the configured columns.
 
-    Adds ``sink_table`` and ``sink_pk``.  Other tables and change types are left out.
+    Adds ``sink_table`` and ``sink_pk``.  The key stays, whether it is a configured column
+    or not.  Other tables and change types are left out.
     There are few source tables and one may have most of the changes, so the changes
     must not be shuffled by table name: the configuration is broadcast after its rows
     were counted, and a larger one is joined with the busy tables split.
@@ -42,7 +43,7 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     kept = changes.where(F.col("type").isin(*DIMENSION_TYPES))
     small = checked_broadcast(setup)
     joined = kept.join(small, "table") if small is not None else skewed_join(kept, setup, ["table"])
-    data = F.map_filter("data", lambda k, _: F.array_contains("_columns", k))
+    data = F.map_filter("data", lambda k, _: F.array_contains("_columns", k) | (k == F.col("sink_pk")))
     return joined.withColumn("data", data).select(*changes.columns, "sink_table", "sink_pk")
 
 
@@ -69,15 +70,21 @@ def create_table_sql(sink_table: str, sink_columns: str, sink_pk: str | None = N
     return f"CREATE TABLE IF NOT EXISTS {sink_table} ({body}) USING parquet {sink_extend or ''}".strip()
 
 
+def keyless(routed: DataFrame) -> DataFrame:
+    """Routed changes without a value for their key: dead letters, in no dimension table."""
+    return routed.where(F.col("data")[F.col("sink_pk")].isNull())
+
+
 def upserted(changes: DataFrame, sink_table: str, columns: Sequence[str], pk: str,
              version: Sequence[Column | str]) -> DataFrame:
     """Rows of one dimension table after all routed changes.
 
     A change writes only the columns it carries; the others keep their value.  That
     is one aggregate per table, combined before the shuffle: per column the value
-    with the highest version among the changes that carry the column.
+    with the highest version among the changes that carry the column.  Changes without
+    a key are left out; :func:`keyless` gives them.
     """
-    rows = changes.where(F.col("sink_table") == sink_table)
+    rows = changes.where((F.col("sink_table") == sink_table) & F.col("data")[pk].isNotNull())
     order = F.struct(*version)
 
     def newest(name: str) -> Column:

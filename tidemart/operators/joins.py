@@ -20,7 +20,8 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, dim_key: str,
     with ``how="left"``.  There is no broadcast hint on purpose: Spark broadcasts
     the dimension if its size is below ``spark.sql.autoBroadcastJoinThreshold``
     (checked again at run time), and else shuffles both sides and splits hot keys.
-    A streaming ``facts`` against a static ``dim`` re-reads it per micro-batch.
+    With a streaming ``facts`` the files of a static ``dim`` are those of the time when ``dim``
+    was made: read it anew inside ``foreachBatch`` where it may change.
     """
     side = dim.select(F.col(dim_key).alias("_key"),
                       *[F.col(source).alias(name) for name, source in columns.items()])
