@@ -6,7 +6,7 @@ Results go to a table in the shared folder and are read back from there.
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,6 +34,31 @@ class StreamTables(frames.Tables):
             f"{self.folder}/{name}.parque[t]"))
 
 
+class SlicedEvents:
+    """Events as the stream of a folder that grows by one time slice after another.
+
+    The last slice is a single view by a visitor of its own, ``ahead`` of all others, which
+    moves the watermark past them; it keeps waiting itself.
+    """
+
+    def __init__(self, t: frames.Tables, ahead: str, count: int = 4):
+        micros = F.unix_micros("ts")
+        low, high = t.events.agg(F.min(micros), F.max(micros)).first()
+        part = F.floor((micros - F.lit(low)) * count / F.lit((high or 0) - (low or 0) + 1))
+        end = t.events.agg((F.max("ts") + F.expr(f"INTERVAL {ahead}")).alias("ts")).where("ts IS NOT NULL")
+        closing = end.select(F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"),
+                             F.lit("view").alias("event_type"), F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props"))
+        self.parts = [*[t.events.where(F.coalesce(part, F.lit(0)) == n) for n in range(count)], closing]
+        self.folder = shared_dir(t.spark, "event-slices")
+        t.events.limit(0).write.parquet(self.folder)
+        self.events = t.spark.readStream.schema(t.events.schema).parquet(self.folder)
+
+    def grow(self) -> Iterator[None]:
+        """Add the next slice at each step."""
+        for part in self.parts:
+            yield part.write.mode("append").parquet(self.folder)
+
+
 @contextlib.contextmanager
 def _state_partitions(spark: SparkSession) -> Iterator[None]:
     """No more state partitions than twice the cores: each costs time to open."""
@@ -46,12 +71,14 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _appended(t: frames.Tables, df: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream to its end and read what it wrote."""
+def _appended(t: frames.Tables, df: DataFrame, name: str, arrivals: Iterable[None] = (None,)) -> DataFrame:
+    """Run an append-mode stream to its end, again after each arrival of data on the same
+    checkpoint, and read what it wrote."""
     base = shared_dir(t.spark, name)
     with _state_partitions(t.spark):
-        jobs.start(for_each(df, append_batches(f"{base}/table"),
-                            f"{base}/checkpoint")).awaitTermination()
+        for _ in arrivals:
+            jobs.start(for_each(df, append_batches(f"{base}/table"),
+                                f"{base}/checkpoint")).awaitTermination()
     return t.spark.read.schema(df.schema).parquet(f"{base}/table").drop(BATCH)
 
 
@@ -97,12 +124,12 @@ def stream_uv_detail(t):
 
 @query("stream_bounce_detail", f"""
 WITH {PAGES}, {bounces(HALF_DAY)}
-SELECT event_id, mid, {text('t')} AS at FROM uj
-WHERE t + INTERVAL 12 HOUR <= (SELECT max(t) - INTERVAL 2 SECOND FROM pages)""")
+SELECT event_id, mid, {text('t')} AS at FROM uj""")
 def stream_bounce_detail(t):
-    """Bounces that the final watermark has decided."""
-    rows = jobs.bounce_detail(frames.pages(StreamTables(t)), "12 hours", "2 seconds", TIES)
-    return _appended(t, rows, "bounces").select(
+    """All bounces, from events that arrive in slices."""
+    sliced = SlicedEvents(t, "13 HOURS")
+    rows = jobs.bounce_detail(frames.pages(sliced), "12 hours", "2 seconds", TIES)
+    return _appended(t, rows, "bounces", sliced.grow()).select(
         "event_id", F.col("common.mid").alias("mid"),
         F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
