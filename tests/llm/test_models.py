@@ -99,6 +99,15 @@ def test_class_model_adds_up_and_beats_words(table):
     assert scored[0] > scored[1]
 
 
+def test_exchange_takes_words_by_count_not_by_share(spark):
+    """A word of 12 occurrences among 336,000 tokens is clustered; one of 9 is not."""
+    rows = [(i, "the " * 1_000 + " ".join(f"w{i * 10 + k % 10}" for k in range(120))) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (300, "seldom " * 9)], "doc_id long, text string").withColumn("lang", F.lit("en"))
+    model = classes.train(docs, classes=4, rounds=1)
+    assert len(model["sent"]["frequent"]) == 3_001
+    assert [bytes(r.word) for r in model["counts"].collect()] == [b"seldom"]
+
+
 def test_best_class_is_the_most_likely_one():
     """Moving one word, by counting everything anew."""
     rng = random.Random(3)

@@ -1,20 +1,21 @@
 """Language-model scoring with word classes found by exchange.
 
-Tokens are lower-case words and one end per text.  Words that make up at least one in
-``frequent`` of the training tokens, of which there can be no more than ``frequent``, are put into
-``classes`` classes by exchange: in each round half of them, by a hash, move to the class that
-raises the likelihood of the class bigrams most, given the others; rounds go on in parallel
-over the words.  All other words, known or not, are in one of ``SPELLED`` classes by their last
-character, and the end is a class of its own, which also stands before a text.
+Tokens are lower-case words and one end per text.  Words that occur at least ``frequent`` times in
+the training texts, a fixed count whatever their size, are put into ``classes`` classes by
+exchange: in each round half of them, by a hash, move to the class that raises the likelihood of
+the class bigrams most, given the others; rounds go on in parallel over the words.  All other
+words, known or not, are in one of ``SPELLED`` classes by their last character, and the end is a
+class of its own, which also stands before a text.
 
 A token's probability is that of its class after the class before, times that of the word in its
 class.  Transitions are counted over all training texts and drawn towards the frequency of the
 class by ``KAPPA`` pseudo-counts; words have ``ADD`` pseudo-counts, as has one unknown word in
 each spelled class, so that probabilities add up to one.
 
-All counts cover every training document.  The frequent words and the square of classes are
-bounded by parameters and sent to the tasks; the counts of other words stay in a table that is
-joined with the words of each document.
+All counts cover every training document.  Words, their classes and their context counts are
+tables joined by word: texts go in blocks of about ``BLOCK`` bytes, and the distinct words of a
+block are joined with the table and come back to it.  Only the square of classes goes to tasks
+and to the driver.
 
 Defined results: null and empty texts hold one token, the end; a null id counts as the text
 "null"; equal rows are scored one by one; without training tokens every token has the same
@@ -24,23 +25,27 @@ probability; an empty table gives none.  Other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.llm.common import byte_texts, numbered
 from tidemart.session import stored
 
-FREQUENT = 20_000
+FREQUENT = 10
 CLASSES = 64
 SPELLED = 16
 ROUNDS = 4
 ADD = 0.1
 KAPPA = 50.0
 FLUSH = 500_000
+BLOCK = 16 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END = b""
+FIRST = SPELLED + 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -75,42 +80,76 @@ def word_counts(rows: DataFrame) -> DataFrame:
             .groupBy("word", "spelled").agg(F.sum("n").alias("n")))
 
 
-def symbols(text: bytes, frequent: dict[bytes, int]) -> np.ndarray:
-    """The end, then a number for each word and the end: a spelled class, the end, or a frequent word.
-
-    Spelled classes come first, then the end, then frequent words.
-    """
-    words = text.lower().split()
-    get = frequent.get
-    ids = [get(w, -1) for w in words]
-    ids = [spelled(w) if i < 0 else i for i, w in zip(ids, words)]
-    return np.array([SPELLED, *ids, SPELLED], dtype=np.int64)
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it ends: every round writes its results."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
-def pair_counts(rows: DataFrame, frequent: dict[bytes, int]) -> DataFrame:
-    """``x, y, n``: how often one symbol comes after another."""
-    sent = rows.sparkSession.sparkContext.broadcast(frequent)
-    size = SPELLED + 1 + len(frequent)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, held = [], 0
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Add ``block`` to rows of ``rid, doc_id, held_out, text``: the ``rid`` of its first row."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, BLOCK
+        for batch in batches:
+            sizes, rids, blocks = map(len, byte_texts(batch.column(3))), batch.column(0).to_pylist(), []
+            for rid, size in zip(rids, sizes):
+                if held >= BLOCK:
+                    block, held = rid, 0
+                held += size + 1
+                blocks.append(block)
+            yield pa.record_batch([pa.array(blocks, pa.int64()), *batch.columns], names=["block", *batch.schema.names])
+    return rows.select("rid", "doc_id", "held_out", "text").mapInArrow(
+        deal, "block long, rid long, doc_id long, held_out boolean, text string")
+
+
+def with_words(blocks: DataFrame, words: DataFrame, body: Callable[[pa.Table, dict], pa.Table], schema: str) -> DataFrame:
+    """``body`` of the rows of each block and of what ``words`` (``word`` and two more columns)
+    has of the words in them."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, found = None, set()
 
         def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
-            return pa.record_batch([pa.array((keys // size).astype(np.int32)), pa.array((keys % size).astype(np.int32)),
-                                    pa.array(n.astype(np.int64))], names=["x", "y", "n"])
+            batch = pa.record_batch([pa.array([block] * len(found), pa.int64()), pa.array(found, pa.binary())],
+                                    names=["block", "word"])
+            found.clear()
+            return batch
         for batch in batches:
-            for text in byte_texts(batch.column(0)):
-                ids = symbols(text, sent.value)
-                waiting.append(ids[:-1] * size + ids[1:])
-                held += len(ids)
-                if held > 4 * FLUSH:
+            for at, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1))):
+                if at != block and found:
                     yield flush()
-                    waiting, held = [], 0
-        if waiting:
+                block = at
+                found.update(text.lower().split())
+        if found:
             yield flush()
-    return (rows.select("text").mapInArrow(count, "x int, y int, n long")
-            .groupBy("x", "y").agg(F.sum("n").alias("n")))
+    asked = blocks.select("block", "text").mapInArrow(ask, "block long, word binary")
+    told = asked.join(words.withColumnRenamed("word", "known_word"), F.col("word") == F.col("known_word")).drop("known_word")
+
+    def meet(texts: pa.Table, told: pa.Table) -> pa.Table:
+        return body(texts, dict(zip(told["word"].to_pylist(), zip(told.column(2).to_pylist(), told.column(3).to_pylist()))))
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(meet, schema)
+
+
+def pair_counts(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """``x, y, n``: how often one symbol comes after another.
+
+    A symbol is a spelled class, ``SPELLED`` for the end, or the ``number`` of a frequent word.
+    """
+    def count(texts: pa.Table, told: dict) -> pa.Table:
+        numbers = np.array([*range(FIRST), *[number for number, _ in told.values()]], dtype=np.int64)
+        place, parts = {w: FIRST + i for i, w in enumerate(told)}, [np.zeros(0, dtype=np.int64)]
+        for text in byte_texts(texts["text"]):
+            words = text.lower().split()
+            ids = [place[w] if w in place else spelled(w) for w in words]
+            ids = np.array([SPELLED, *ids, SPELLED], dtype=np.int64)
+            parts.append(ids[:-1] * len(numbers) + ids[1:])
+        keys, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.table({"x": numbers[keys // len(numbers)], "y": numbers[keys % len(numbers)], "n": n.astype(np.int64)})
+    return with_words(blocks, words, count, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n"))
 
 
 def _f(x: np.ndarray) -> np.ndarray:
@@ -127,8 +166,12 @@ def best_class(square: np.ndarray, now: int, after: np.ndarray, before: np.ndarr
     rest[now] -= after
     rest[:, now] -= before
     rest[now, now] -= self_n
-    rest = np.maximum(rest, 0)
-    gain = (_f(rest + after) - _f(rest)).sum(axis=1) + (_f(rest.T + before) - _f(rest.T)).sum(axis=1)
+    np.maximum(rest[now], 0, out=rest[now])
+    np.maximum(rest[:, now], 0, out=rest[:, now])
+    to, by = np.flatnonzero(after), np.flatnonzero(before)  # nothing changes elsewhere
+    behind, ahead = rest[:, to], rest[by]
+    gain = ((_f(behind + after[to]) - _f(behind)).sum(axis=1)
+            + (_f(ahead + before[by, None]) - _f(ahead)).sum(axis=0))
     own = rest.diagonal()
     gain -= (_f(own + after) - _f(own)) + (_f(own + before) - _f(own))
     gain += _f(own + after + before + self_n) - _f(own)
@@ -140,72 +183,91 @@ def best_class(square: np.ndarray, now: int, after: np.ndarray, before: np.ndarr
     return best if gain[best] > gain[now] + 1e-6 else now
 
 
-def with_classes(pairs: DataFrame, class_of: np.ndarray) -> DataFrame:
-    """Add the classes ``a, b`` of the symbols ``x, y``."""
-    sent = pairs.sparkSession.sparkContext.broadcast(class_of.astype(np.int32))
+def with_class(rows: DataFrame, symbol: str, class_of: DataFrame, name: str) -> DataFrame:
+    """Add the class of a symbol; that of the first ones is their number."""
+    looked_up = class_of.select(F.col("number").alias("class_number"), F.col("class").alias(name))
+    frequent = rows.where(F.col(symbol) >= FIRST)
+    return (frequent.join(looked_up, frequent[symbol] == F.col("class_number")).drop("class_number")
+            .unionByName(rows.where(F.col(symbol) < FIRST).withColumn(name, F.col(symbol).cast("int"))))
 
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (pa.array(sent.value[batch.column(k).to_numpy()]) for k in (0, 1))
-            yield pa.record_batch([*batch.columns, a, b], names=["x", "y", "n", "a", "b"])
-    return pairs.select("x", "y", "n").mapInArrow(of_batches, "x int, y int, n long, a int, b int")
-
-
-def moves(known: DataFrame, square: np.ndarray, class_of: np.ndarray, turn: int) -> DataFrame:
-    """``word, best`` of one half of the frequent words."""
-    first, size = SPELLED + 1, len(square)
-    chosen = (F.col("word") >= first) & (F.pmod(F.xxhash64("word"), F.lit(2)) == turn % 2)
-    behind = known.select(F.col("x").alias("word"), F.when(F.col("x") == F.col("y"), 2).otherwise(0).alias("side"),
-                          F.col("b").alias("other"), "n")
-    ahead = known.where("x <> y").select(F.col("y").alias("word"), F.lit(1).alias("side"), F.col("a").alias("other"), "n")
-    context = (behind.unionAll(ahead).where(chosen).groupBy("word", "side", "other").agg(F.sum("n").alias("n"))
-               .groupBy("word").agg(F.collect_list("side").alias("sides"), F.collect_list("other").alias("others"),
-                                    F.collect_list("n").alias("ns")))
-    sent = known.sparkSession.sparkContext.broadcast((square, class_of))
+
+def contexts(pairs: DataFrame, class_of: DataFrame, word: str, other: str, side: int) -> DataFrame:
+    """``word, side, other, n``: classes on one side of a word; side 2 is the word itself."""
+    sides = F.when(F.col("x") == F.col("y"), 2).otherwise(side)
+    return (with_class(pairs, other, class_of, "other").groupBy(F.col(word).alias("word"), sides.alias("side"), "other")
+            .agg(F.sum("n").alias("n")))
+
+
+def moves(around: DataFrame, square: np.ndarray, class_of: DataFrame) -> DataFrame:
+    """``word, best`` of the words whose contexts are given."""
+    lists = around.groupBy("word").agg(F.collect_list("side").alias("sides"), F.collect_list("other").alias("others"),
+                                       F.collect_list("n").alias("ns"))
+    sent = around.sparkSession.sparkContext.broadcast(square)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        square, class_of = sent.value
+        square = sent.value
         for batch in batches:
-            words, best = batch.column(0).to_pylist(), []
-            for word, sides, others, ns in zip(words, *[batch.column(k).to_pylist() for k in (1, 2, 3)]):
-                sums = np.zeros((3, size))
+            best = []
+            for now, sides, others, ns in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3, 4)]):
+                sums = np.zeros((3, len(square)))
                 np.add.at(sums, (sides, others), ns)
-                best.append(best_class(square, int(class_of[word]), sums[0], sums[1], sums[2].sum(), first))
+                best.append(best_class(square, now, sums[0], sums[1], sums[2].sum(), FIRST))
             yield pa.record_batch([batch.column(0), pa.array(best, pa.int32())], names=["word", "best"])
-    return context.mapInArrow(of_batches, "word int, best int")
+    placed = lists.join(class_of, lists["word"] == class_of["number"])
+    return placed.select("word", "class", "sides", "others", "ns").mapInArrow(of_batches, "word long, best int")
 
 
-def exchange(pairs: DataFrame, n_frequent: int, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """The class of every symbol and the counts of class bigrams, from ``x, y, n``.
+def exchange(pairs: DataFrame, words: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
+    """``number, class`` of the frequent words and the counts of class bigrams, from ``x, y, n``.
 
-    Frequent words come by frequency and start in turn; the first ``SPELLED + 1`` classes are
-    fixed.  What reaches the driver is a class per frequent word and the square of classes.
+    Frequent words start in turn; the first ``FIRST`` classes are fixed.  What reaches the driver
+    is the square of classes.
     """
-    first, size = SPELLED + 1, SPELLED + 1 + classes
-    class_of = np.concatenate([np.arange(first), first + np.arange(n_frequent) % classes])
+    size = FIRST + classes
+    class_of = words.select("number", (F.col("number") % classes + FIRST).cast("int").alias("class"))
     for turn in range(rounds + 1):
-        known = with_classes(pairs, class_of)
+        behind = stored(contexts(pairs, class_of, "x", "y", 0), "classes-behind")
         square = np.zeros((size, size))
-        for r in known.groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
-            square[r.a, r.b] = r.n
-        if turn == rounds or not n_frequent:
+        for r in with_class(behind, "word", class_of, "a").groupBy("a", "other").agg(F.sum("n").alias("n")).collect():
+            square[r.a, r.other] = r.n
+        if turn == rounds:
             return class_of, square
-        for r in moves(known, square, class_of, turn).collect():
-            class_of[r.word] = r.best
+        half = lambda c: (F.col(c) >= FIRST) & (F.pmod(F.xxhash64(c), F.lit(2)) == turn % 2)
+        ahead = contexts(pairs.where((F.col("x") != F.col("y")) & half("y")), class_of, "y", "x", 1)
+        moved = moves(behind.where(half("word")).unionByName(ahead), square, class_of)
+        class_of = stored(class_of.join(moved, class_of["number"] == moved["word"], "left")
+                          .select("number", F.coalesce("best", "class").alias("class")), "classes-of")
 
 
-def train(rows: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS) -> dict:
-    """The model of training ``text``: stored ``counts`` of all words, and what is bounded."""
+class Model(dict):
+    """The model; ``sent`` is all of it on the driver, to look at a small one."""
+
+    def __missing__(self, key: str) -> dict:
+        if key != "sent":
+            raise KeyError(key)
+        rows = self["known"].where(F.col("class") >= FIRST).orderBy(F.col("n").desc(), "word").collect()
+        return {"frequent": {bytes(r.word): FIRST + i for i, r in enumerate(rows)}, "ratio": self["ratio"],
+                "class_of": np.array([*range(FIRST), *[r["class"] for r in rows]]),
+                "log_counts": np.log10(np.array([*[1 - ADD] * SPELLED, self["ends"], *[r.n for r in rows]]) + ADD)}
+
+
+def train(rows: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
+    """The model of training ``text``: ``known``, a table of all words with count and class, the
+    ``counts`` of those that are not frequent, and what is bounded."""
     counts = stored(word_counts(rows), "classes-counts")
     n, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    often = (F.col("n") * frequent >= n) & (F.length("word") > 0)
-    top = counts.where(often).select("word", "n").orderBy(F.col("n").desc(), "word").collect()
-    numbers = {bytes(r.word): SPELLED + 1 + i for i, r in enumerate(top)}
-    rest = {r.spelled: r["count"] for r in counts.where(~often & (F.length("word") > 0)).groupBy("spelled").count().collect()}
+    often = F.col("n") >= frequent
     ends = counts.where(F.length("word") == 0).select("n").first()
-    pairs = stored(pair_counts(rows, numbers), "classes-pairs")
-    class_of, square = exchange(pairs, len(numbers), classes, rounds)
-    known = np.bincount(class_of[SPELLED + 1:], minlength=len(square)).astype(float)
+    counts = counts.where(F.length("word") > 0)
+    words = stored(counts.where(often).orderBy(F.col("n").desc(), "word")
+                   .select("word", (F.monotonically_increasing_id() + FIRST).alias("number"), "n"), "classes-words")
+    rest = {r.spelled: r["count"] for r in counts.where(~often).groupBy("spelled").count().collect()}
+    training = in_blocks(numbered(rows, F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), rows["text"]))
+    class_of, square = exchange(stored(pair_counts(training, words), "classes-pairs"), words, classes, rounds)
+    classed = words.join(class_of, "number").select("word", "class", "n")
+    known = np.zeros(len(square))
+    for r in class_of.groupBy("class").count().collect():
+        known[r["class"]] = r["count"]
     known[:SPELLED] = [rest.get(k, 0) + 1 for k in range(SPELLED)]  # one of them is unknown
     known[SPELLED] = 1
     tokens = square.sum(axis=0)
@@ -213,57 +275,42 @@ def train(rows: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rou
     p = (tokens + ADD * known) / whole
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = np.log10((square + KAPPA * p) / (square.sum(axis=1, keepdims=True) + KAPPA) / p)
-    n_ends = ends.n if ends else 0
-    log_counts = np.full(SPELLED + 1 + len(numbers), 0.0)
-    log_counts[SPELLED:] = np.log10(np.array([n_ends, *[r.n for r in top]], dtype=float) + ADD)
-    return {"counts": counts.where(~often & (F.length("word") > 0)).select("word", "n"), "tokens": n, "types": types,
-            "whole": whole, "sent": {"frequent": numbers, "class_of": class_of, "ratio": ratio,
-                                     "log_counts": log_counts, "end_known": n_ends > 0}}
+    rare = counts.where(~often)
+    return Model(known=stored(classed.unionByName(rare.select("word", F.col("spelled").alias("class"), "n")), "classes-known"),
+                 counts=rare.select("word", "n"), tokens=n, types=types, whole=whole, ratio=ratio, ends=ends.n if ends else 0)
 
 
-def score(rows: DataFrame, model: dict) -> DataFrame:
+def score(rows: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for rows of
     ``rid, doc_id, held_out, text``."""
-    sent = rows.sparkSession.sparkContext.broadcast(model["sent"])
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        frequent, class_of, ratio, log_counts = m["frequent"], m["class_of"], m["ratio"], m["log_counts"]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1_000):
-                part, out = batch.slice(at, 1_000), []
-                for text in byte_texts(part.column(3)):
-                    ids = symbols(text, frequent)
-                    kinds = class_of[ids]
-                    rare = Counter(w for w in text.lower().split() if w not in frequent)
-                    out.append((len(ids) - 1, int((ids[1:] > SPELLED).sum()) + int(m["end_known"]),
-                                float(log_counts[ids[1:]].sum()), float(ratio[kinds[:-1], kinds[1:]].sum()),
-                                list(rare), list(rare.values())))
-                cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                                                                   pa.list_(pa.binary()), pa.list_(pa.int64())))]
-                yield pa.record_batch([*part.columns[:3], *cols], names=names)
-    names = ["rid", "doc_id", "held_out", "n_tokens", "known", "log_count", "log_ratio", "words", "times"]
-    docs = stored(rows.select("rid", "doc_id", "held_out", "text").mapInArrow(
-        of_batches, "rid long, doc_id long, held_out boolean, n_tokens long, known long, log_count double, "
-                    "log_ratio double, words array<binary>, times array<long>"), "classes-scored")
-    spread = docs.select("rid", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-        "rid", F.col("w.words").alias("rare"), F.col("w.times").alias("times"))
-    found = spread.join(model["counts"], spread["rare"] == F.col("word"), "left")
-    sums = found.groupBy(F.col("rid").alias("sum_rid")).agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADD))).alias("rare_log"),
-        F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("rare_known"))
-    log_sum = F.col("log_count") + F.coalesce("rare_log", F.lit(0.0))
+    sent, ends = rows.sparkSession.sparkContext.broadcast(model["ratio"]), model["ends"]
+
+    def of_block(texts: pa.Table, told: dict) -> pa.Table:
+        ratio, log_end, log_new, out = sent.value, np.log10(ends + ADD), np.log10(ADD), []
+        logs = {w: np.log10(n + ADD) for w, (_, n) in told.items()}
+        for text in byte_texts(texts["text"]):
+            words = text.lower().split()
+            kinds = np.array([SPELLED, *[told[w][0] if w in told else spelled(w) for w in words], SPELLED], dtype=np.int64)
+            out.append((len(words) + 1, sum(w in told for w in words) + (ends > 0),
+                        float(sum(logs.get(w, log_new) for w in words) + log_end),
+                        float(ratio[kinds[:-1], kinds[1:]].sum())))
+        columns = list(zip(*out))
+        return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(columns[0], pa.int64()),
+                         "n_known": pa.array(columns[1], pa.int64()), "log_sum": pa.array(columns[2], pa.float64()),
+                         "log_ratio": pa.array(columns[3], pa.float64())})
+    docs = with_words(in_blocks(rows), model["known"], of_block, "doc_id long, held_out boolean, n_tokens long, "
+                      "n_known long, log_sum double, log_ratio double")
     base = float(np.log10(model["tokens"] + ADD * (model["types"] + 1)))
     own = float(np.log10(model["whole"]))
-    return docs.join(sums, docs["rid"] == sums["sum_rid"], "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(model["tokens"]).cast("long").alias("train_tokens"),
-        (log_sum - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        (log_sum - F.col("n_tokens") * F.lit(own) + F.col("log_ratio")).alias("score"))
+    return docs.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model["tokens"]).cast("long").alias("train_tokens"),
+        (F.col("log_sum") - F.col("n_tokens") * F.lit(base)).alias("base_score"),
+        (F.col("log_sum") - F.col("n_tokens") * F.lit(own) + F.col("log_ratio")).alias("score"))
 
 
 def judge(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
     """Scores, and ``perplexity``, of every document under the model of those not held out."""
     rows = numbered(docs, docs["doc_id"].cast("long").alias("doc_id"), held_out(docs["doc_id"]).alias("held_out"), docs["text"])
-    model = train(rows.where(~F.col("held_out")), frequent, classes, rounds)
+    with swept(docs.sparkSession):
+        model = train(rows.where(~F.col("held_out")), frequent, classes, rounds)
     return score(rows, model).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
