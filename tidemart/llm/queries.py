@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, classes, mixing, packing, quality, rules, simhash, toxicity, trie, vectors
+from tidemart.llm import chat, classes, mixing, packing, quality, rules, simhash, toxicity, trie, vectors, whitening
 from tidemart.session import tune
 
 
@@ -72,8 +72,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector on the 32 strongest axes, with unit variance on each."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_class_ngrams, op3_token_counts, op4_length_buckets, op5_quality_classifier, op6_quality_rules,
-    op7_embeddings, op8_chat, op9_mixing, op10_simhash)}
+    op7_embeddings, op8_chat, op9_mixing, op10_simhash, op13_whitening)}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
