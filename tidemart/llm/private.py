@@ -26,14 +26,13 @@ columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.session import stored
 
@@ -387,11 +386,14 @@ def spans(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def digests(found_spans: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone`` (base spans), ``base_sha256, spans, n_added``."""
     base = F.filter("spans", lambda s: s["base"])
-    said = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-    said_base = F.transform(base, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found_spans.select("doc_id", *counts, F.sha2(F.array_join(said_base, ",").cast("binary"), 256).alias("base_sha256"),
-                              F.array_join(said, ",").alias("spans"),
+
+    def said(each: Column) -> Column:
+        return F.array_join(F.transform(each, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found_spans.select("doc_id", *[count(k) for k in KINDS], F.sha2(said(base).cast("binary"), 256).alias("base_sha256"),
+                              said(F.col("spans")).alias("spans"),
                               F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"))
 
 
@@ -404,6 +406,3 @@ def redacted(text: str, found_spans: list[tuple[str, int, int]]) -> str:
         at = max(at, end)
     return "".join(out) + text[at:]
 
-
-def sha256(spans_: list[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans_).encode()).hexdigest()
