@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.llm import (
-    chat, classes, mixing, packing, private, quality, rules, simhash, toxicity, trie, vectors, whitening)
+    chat, classes, mixing, packing, prefixes, private, quality, rules, simhash, toxicity, trie, vectors, whitening)
 from tidemart.session import tune
 
 
@@ -73,6 +73,11 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the prefix trie of rebuilt conversations."""
+    return prefixes.conversation_trie(table(spark, folder, "conversations"))
+
+
 def op12_private_spans(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of base spans, their digest, and all spans of personal data of every document."""
     return private.digests(private.spans(table(spark, folder, "documents")))
@@ -85,6 +90,6 @@ def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_class_ngrams, op3_token_counts, op4_length_buckets, op5_quality_classifier, op6_quality_rules,
-    op7_embeddings, op8_chat, op9_mixing, op10_simhash, op12_private_spans, op13_whitening)}
+    op7_embeddings, op8_chat, op9_mixing, op10_simhash, op11_prefix_trie, op12_private_spans, op13_whitening)}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
