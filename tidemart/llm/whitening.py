@@ -78,10 +78,10 @@ def centred(n: int, total: list[int]) -> Column:
     return F.transform(wide, lambda d: d.try_cast("long"))
 
 
-def block_matrix(rows: DataFrame, at: str, values: str, n: int, width: int) -> BlockMatrix:
+def block_matrix(rows: DataFrame, at: str, values: str, n: int, width: int, block_rows: int | None = None) -> BlockMatrix:
     """A frame of numbered arrays as blocks, without Python workers."""
     frame = rows.select(F.col(at).cast("long").alias("index"), array_to_vector(F.col(values)).alias("vector"))
-    return IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(frame, "vector"), n, width).toBlockMatrix(BLOCK_ROWS, BLOCK_COLUMNS)
+    return IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(frame, "vector"), n, width).toBlockMatrix(block_rows or BLOCK_ROWS, BLOCK_COLUMNS)
 
 
 def scatter(blocks: BlockMatrix, splits: int = SPLITS) -> np.ndarray:
@@ -95,7 +95,7 @@ def scatter(blocks: BlockMatrix, splits: int = SPLITS) -> np.ndarray:
 def projected(spark: SparkSession, blocks: BlockMatrix, matrix: np.ndarray) -> DataFrame:
     """``index, whitened``: rows times a matrix of a row for each dimension."""
     right = spark.createDataFrame([(i, row) for i, row in enumerate(matrix.tolist())], "at long, w array<double>")
-    product = blocks.multiply(block_matrix(right, "at", "w", *matrix.shape))
+    product = blocks.multiply(block_matrix(right, "at", "w", *matrix.shape, BLOCK_COLUMNS))
     rows = callMLlibFunc("getIndexedRows", product.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
     return rows.select("index", vector_to_array("vector").alias("whitened"))
 
