@@ -94,7 +94,7 @@ def test_fat_binary_search_finds_the_exit(spark):
     lengths = spark.createDataFrame([(i, len(s)) for i, s in enumerate(seqs)], "path long, length long")
     digests = every.withColumnRenamed("conv_id", "path").join(lengths, "path")
     old = lengths.where("path % 2 = 0")
-    nodes = prefixes.grown(old, digests, prefixes.root(digests))
+    nodes = prefixes.grown(old, digests)
     explicit = set()
     for i in range(0, len(seqs), 2):
         for d in range(len(seqs[i]) + 1):

@@ -35,7 +35,7 @@ from tidemart.session import stored
 
 HEAD = 6
 FAMILY = 100
-BATCHES = 3
+BATCHES = 2
 BLOCK = 4_096
 CHUNK_BITS = 16
 KEY = ["depth", "k1", "k2"]
@@ -127,6 +127,11 @@ def two_fattest(low: str, high: str) -> Column:
     return F.expr(f"shiftleft(shiftright({high}, {bits}), {bits})")
 
 
+def at_root(names: list[str]) -> list[Column]:
+    """The columns of a node for the root, which no path names and which lies below none."""
+    return [F.lit({"low": -1, "path": None, "rep": None}.get(c, 0)).cast("long").alias(c) for c in names]
+
+
 def exits(batch: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """``path, low, high, x1, x2, rep``: for each path (``path, length``) the node where it leaves
     the trie.
@@ -138,9 +143,8 @@ def exits(batch: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     names = ["low", "high", "x1", "x2", "rep"]
     below = nodes.where("high > 0").select("f", "f1", "f2", "g1", "g2", F.col("low").alias("n_low"), F.col("high").alias("n_high"),
                                            F.col("k1").alias("n_x1"), F.col("k2").alias("n_x2"), F.col("path").alias("n_rep"))
-    zero, done = F.lit(0).cast("long"), []
-    active = batch.select("path", "length", zero.alias("l"), F.col("length").alias("r"), F.lit(-1).cast("long").alias("low"),
-                          zero.alias("high"), zero.alias("x1"), zero.alias("x2"), F.lit(None).cast("long").alias("rep"))
+    done = []
+    active = batch.select("path", "length", F.lit(0).cast("long").alias("l"), F.col("length").alias("r"), *at_root(names))
     at = rows.select(F.col("path").alias("at_path"), F.col("depth").alias("at_depth"), "k1", "k2")
 
     def digest_at(frame: DataFrame, depth: str, how: str = "inner") -> DataFrame:
@@ -158,20 +162,20 @@ def exits(batch: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     for more in done:
         active = active.unionByName(more)
     through = digest_at(active, "high", "left")
-    through = through.withColumn("goes_on", ((F.col("high") == 0) | ((F.col("k1") == F.col("x1")) & (F.col("k2") == F.col("x2"))))
-                                 & (F.col("high") < F.col("length"))).drop("k1", "k2")
-    through = stored(through.withColumn("goes_on", F.coalesce("goes_on", F.lit(False))).withColumn("next", F.col("high") + 1), "trie-through")
-    step = digest_at(through.where("goes_on"), "next")
-    step = step.join(below, (F.col("high") == F.col("n_low")) & (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
-    return stored(step.select("path", *taken(F.col("g1").isNotNull())).unionByName(through.where("not goes_on").select("path", *names)), "trie-exits")
+    goes_on = ((F.col("high") == 0) | ((F.col("k1") == F.col("x1")) & (F.col("k2") == F.col("x2")))) & (F.col("high") < F.col("length"))
+    through = through.withColumn("next", F.when(goes_on, F.col("high") + 1)).drop("k1", "k2")
+    step = digest_at(through, "next", "left")
+    step = step.join(below, (F.col("next") - 1 == F.col("n_low")) & (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")), "left")
+    return stored(step.select("path", *taken(F.col("g1").isNotNull())), "trie-exits")
 
 
-def grown(batch: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``nodes`` with the paths of a batch put in."""
-    left = exits(batch, rows, nodes)
+def grown(batch: DataFrame, rows: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """``nodes`` with the paths of a batch put in; from an empty trie every path leaves at the root."""
+    left = exits(batch, rows, nodes) if nodes is not None else batch.select("path", *at_root(["low", "high", "x1", "x2", "rep"]))
+    nodes = root(rows) if nodes is None else nodes
     new = rows.join(left.select(F.col("path").alias("new_path"), F.col("low").alias("above")), F.col("path") == F.col("new_path"))
     new = new.where(F.col("depth") > F.col("above")).select("path", *KEY, "p", "q", "above", (F.col("depth") == F.col("length")).alias("kept"))
-    cut = stored(left.where("high > 0").select("low", "high", "x1", "x2", "rep").distinct(), "trie-cut")
+    cut = left.where("high > 0").select("low", "high", "x1", "x2", "rep").distinct()
     old = rows.join(cut, (rows["path"] == cut["rep"]) & (rows["depth"] > cut["low"]) & (rows["depth"] <= cut["high"]))
     old = old.select("path", *KEY, "p", "q", F.col("low").alias("above"), (F.col("depth") == F.col("high")).alias("kept"))
     touched = stored(new.unionByName(old), "trie-touched")
@@ -196,9 +200,7 @@ def grown(batch: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def root(rows: DataFrame) -> DataFrame:
     """A trie of the root only."""
-    return rows.sparkSession.range(1).select(
-        F.lit(-1).cast("long").alias("low"), *[F.lit(0).cast("long").alias(c) for c in ("high", "k1", "k2")],
-        F.lit(None).cast("long").alias("path"), *[F.lit(0).cast("long").alias(c) for c in ("f", "f1", "f2", "g1", "g2")])
+    return rows.sparkSession.range(1).select(*at_root(["low", "high", "k1", "k2", "path", "f", "f1", "f2", "g1", "g2"]))
 
 
 def build(paths: DataFrame, rows: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -207,7 +209,7 @@ def build(paths: DataFrame, rows: DataFrame, batches: int = BATCHES) -> DataFram
 
     ``paths`` has ``path, length``; ``rows`` the prefixes of each path.
     """
-    nodes = root(rows)
+    nodes = None
     for turn in range(batches):
         part = paths.where((F.pmod(F.xxhash64("path"), F.lit(batches)) == turn) & (F.col("length") > 0))
         nodes = grown(part, rows, nodes)
