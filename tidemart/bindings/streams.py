@@ -8,15 +8,15 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.bindings import frames
 from tidemart.bindings.registry import DETAILS, ENTRIES, PAGES, bounces, query, span, text
 from tidemart.bindings.traffic import DAY, HALF_DAY, LOG_ROUTE_SQL, TIES, keyword_sql, route_fields
 from tidemart.operators import joins
 from tidemart.plans import keywords, traffic, users
-from tidemart.session import shared_dir
-from tidemart.sinks import BATCH, append_batches, for_each, read_upserted, to_files, upsert_batches
+from tidemart.session import shared_dir, stored
+from tidemart.sinks import BATCH, BatchWriter, append_batches, for_each, read_upserted, to_files, upsert_batches
 from tidemart.streaming import jobs, state
 
 
@@ -59,35 +59,60 @@ class SlicedEvents:
             yield part.write.mode("append").parquet(self.folder)
 
 
+class Slices:
+    """Rows as the stream of a folder that grows by one part after another."""
+
+    def __init__(self, t: frames.Tables, rows: DataFrame, *parts: Column):
+        self.rows, self.parts = stored(rows, "sliced"), parts
+        self.folder = shared_dir(t.spark, "slices")
+        self.rows.limit(0).write.parquet(self.folder)
+        self.stream = t.spark.readStream.schema(self.rows.schema).parquet(self.folder)
+
+    def grow(self) -> Iterator[None]:
+        """Add the next part at each step."""
+        for part in self.parts:
+            yield self.rows.where(part).write.mode("append").parquet(self.folder)
+
+
 @contextlib.contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """No more state partitions than twice the cores: each costs time to open."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+def _settings(spark: SparkSession, clock: bool = False) -> Iterator[None]:
+    """State partitions by the cores of the cluster, as each has files to open.
+
+    With ``clock`` no micro-batch runs without new rows: those driven by the clock would go on
+    for ever once all that has arrived is done.
+    """
+    names = {"spark.sql.shuffle.partitions": str(2 * spark.sparkContext.defaultParallelism)}
+    if clock:
+        names["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _run(t: frames.Tables, df: DataFrame, write: BatchWriter, base: str, arrivals: Iterable[None] = (None,),
+         mode: str = "append", clock: bool = False) -> None:
+    """Run a stream to its end, again after each arrival of data on the same checkpoint."""
+    for _ in arrivals:
+        with _settings(t.spark, clock):
+            jobs.start(for_each(df, write, f"{base}/checkpoint", mode)).awaitTermination()
 
 
 def _appended(t: frames.Tables, df: DataFrame, name: str, arrivals: Iterable[None] = (None,)) -> DataFrame:
-    """Run an append-mode stream to its end, again after each arrival of data on the same
-    checkpoint, and read what it wrote."""
+    """Run an append-mode stream and read what it wrote."""
     base = shared_dir(t.spark, name)
-    with _state_partitions(t.spark):
-        for _ in arrivals:
-            jobs.start(for_each(df, append_batches(f"{base}/table"),
-                                f"{base}/checkpoint")).awaitTermination()
+    _run(t, df, append_batches(f"{base}/table"), base, arrivals)
     return t.spark.read.schema(df.schema).parquet(f"{base}/table").drop(BATCH)
 
 
-def _upserted(t: frames.Tables, df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """Run an update-mode stream to its end and read the last row per key."""
+def _upserted(t: frames.Tables, df: DataFrame, name: str, keys: list[str], arrivals: Iterable[None] = (None,)) -> DataFrame:
+    """Run an update-mode stream and read the last row per key."""
     base = shared_dir(t.spark, name)
-    with _state_partitions(t.spark):
-        jobs.start(for_each(df, upsert_batches(f"{base}/table", keys), f"{base}/checkpoint",
-                            "update")).awaitTermination()
+    _run(t, df, upsert_batches(f"{base}/table", keys), base, arrivals, "update")
     return read_upserted(t.spark, f"{base}/table", keys)
 
 
@@ -225,7 +250,7 @@ def stream_log_route(t):
     """The raw log split by one streaming query into one folder per route."""
     base = shared_dir(t.spark, "log-route")
     routed = jobs.split_log(frames.log_lines(StreamTables(t)))
-    with _state_partitions(t.spark):
+    with _settings(t.spark):
         jobs.start(to_files(routed, f"{base}/table", f"{base}/checkpoint")
                    .partitionBy("route")).awaitTermination()
     return route_fields(t.spark.read.schema(routed.schema).parquet(f"{base}/table"))

@@ -84,15 +84,25 @@ def order_detail(wide: DataFrame) -> DataFrame:
     return wide.where(F.col("type") == fixed.INSERT).drop("type", "old")
 
 
-def payment_detail(log: DataFrame, details: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Order details that were paid, with the payment."""
+# What payment detail takes from an order detail.
+PAID_COLUMNS = ("id", "order_id", "user_id", "sku_id", "province_id", "source_id", "source_type",
+                "source_type_name", "activity_id", "activity_rule_id", "coupon_id", "sku_num",
+                "split_original_total_amount", "split_activity_amount", "split_coupon_amount",
+                "split_total_amount")
+
+
+def payments(log: DataFrame) -> DataFrame:
+    """Payments that were called back, by ``_order``."""
     paid = log.where((F.col("table") == fixed.PAYMENT_INFO)
                      & F.col("data")["callback_time"].isNotNull())
-    paid = paid.select(F.col("data")["order_id"].alias("_order"),
+    return paid.select(F.col("data")["order_id"].alias("_order"),
                        F.col("data")["payment_type"].alias("payment_type_code"),
                        F.col("data")["callback_time"].alias("callback_time"),
                        F.col("ts").alias("ts"))
-    joined = details.join(paid, F.col("order_id") == F.col("_order"))
+
+
+def payment_rows(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Payment details of order details joined with their payments."""
     named = decode(joined, dictionary, "payment_type_code", "payment_type_name")
     return named.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "province_id",
@@ -104,17 +114,28 @@ def payment_detail(log: DataFrame, details: DataFrame, dictionary: DataFrame) ->
         F.col("split_total_amount").alias("split_payment_amount"), "ts")
 
 
-def refund_detail(log: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Refund requests with the province of the order, once that is marked refunded."""
-    asked = table_rows(log, fixed.ORDER_REFUND_INFO, [
+def payment_detail(log: DataFrame, details: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Order details that were paid, with the payment."""
+    return payment_rows(details.join(payments(log), F.col("order_id") == F.col("_order")), dictionary)
+
+
+def refund_requests(log: DataFrame) -> DataFrame:
+    return table_rows(log, fixed.ORDER_REFUND_INFO, [
         "id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
         "refund_reason_type", "refund_reason_txt", "create_time"], [fixed.INSERT])
+
+
+def refunded_orders(log: DataFrame) -> DataFrame:
+    """Orders once they are marked refunded, by ``_order``."""
     refunded = log.where((F.col("table") == fixed.ORDER_INFO)
                          & changed_to("order_status", fixed.REFUNDED))
-    refunded = refunded.select(F.col("data")["id"].alias("_order"),
-                               F.col("data")["province_id"].alias("province_id"),
-                               F.col("ts").alias("_order_ts"))
-    joined = asked.join(refunded, F.col("order_id") == F.col("_order"), "left")
+    return refunded.select(F.col("data")["id"].alias("_order"),
+                           F.col("data")["province_id"].alias("province_id"),
+                           F.col("ts").alias("_order_ts"))
+
+
+def refund_rows(joined: DataFrame, dictionary: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Refund details of requests joined with their orders, if they have one."""
     named = decode(decode(joined, dictionary, "refund_type", "refund_type_name"),
                    dictionary, "refund_reason_type", "refund_reason_type_name")
     newest = F.greatest(F.col("ts").try_cast("bigint"), F.col("_order_ts").try_cast("bigint"))
@@ -124,7 +145,13 @@ def refund_detail(log: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.col("refund_type").alias("refund_type_code"), "refund_type_name",
         F.col("refund_reason_type").alias("refund_reason_type_code"), "refund_reason_type_name",
         "refund_reason_txt", "refund_num", "refund_amount", "ts",
-        F.timestamp_seconds(newest).alias("row_op_ts"))
+        F.timestamp_seconds(newest).alias("row_op_ts"), *extra)
+
+
+def refund_detail(log: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Refund requests with the province of the order, once that is marked refunded."""
+    joined = refund_requests(log).join(refunded_orders(log), F.col("order_id") == F.col("_order"), "left")
+    return refund_rows(joined, dictionary)
 
 
 # Windows over details.
@@ -228,7 +255,10 @@ def province_totals(details: DataFrame, size: str = "10 seconds") -> DataFrame:
 def province_window(details: DataFrame, provinces: DataFrame,
                     size: str = "10 seconds") -> DataFrame:
     """:func:`province_totals` with province names, looked up after aggregation."""
-    totals = province_totals(details, size)
+    return province_names(province_totals(details, size), provinces)
+
+
+def province_names(totals: DataFrame, provinces: DataFrame) -> DataFrame:
     return lookup(totals, provinces, "province_id", "id", {"province_name": "name"}).select(
         "stt", "edt", "province_id", "province_name", "order_count", "order_amount")
 
@@ -265,7 +295,27 @@ def refund_window(refunds: DataFrame, catalog: DataFrame, size: str = "10 second
     """
     once = first_by_key(refunds, ["id"], ["row_op_ts", *ties])
     rows = once.select("user_id", "sku_id", datetime_of(F.col("create_time")).alias("event_time"))
-    totals = windowed(rows, "event_time", size, [F.count("*").alias("refund_count")],
-                      ["user_id", "sku_id"])
+    return refund_names(refund_totals(rows, size), catalog).drop("sku_id")
+
+
+def refund_totals(rows: DataFrame, size: str) -> DataFrame:
+    """Requests per window, user and sku of rows that hold each request once."""
+    return windowed(rows, "event_time", size, [F.count("*").alias("refund_count")], ["user_id", "sku_id"])
+
+
+def refund_names(totals: DataFrame, catalog: DataFrame) -> DataFrame:
     named = lookup(totals, catalog, "sku_id", "sku_id", {c: c for c in CATALOG})
-    return named.select("stt", "edt", *CATALOG, "user_id", "refund_count")
+    return named.select("stt", "edt", *CATALOG, "user_id", "sku_id", "refund_count")
+
+
+def sku_totals(rows: DataFrame, size: str) -> DataFrame:
+    """Orders and amount per window, user and sku of rows that hold each detail once."""
+    return windowed(rows, "event_time", size, [F.count("*").alias("order_count"), F.sum("amount").alias("amount")],
+                    ["user_id", "sku_id"])
+
+
+def spu_rows(totals: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Totals per sku added up per brand, categories, user and product."""
+    named = lookup(totals, catalog, "sku_id", "sku_id", {c: c for c in (*CATALOG, "spu_id", "spu_name")})
+    return (named.groupBy("stt", "edt", *CATALOG, "user_id", "spu_id", "spu_name")
+            .agg(F.sum("order_count").alias("order_count"), total(F.col("amount")).alias("order_amount")))

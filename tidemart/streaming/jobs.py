@@ -9,12 +9,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemart import fixed, schemas
 from tidemart.functions.durations import micros
-from tidemart.functions.times import day_text, seconds_of
+from tidemart.functions.money import money, total
+from tidemart.functions.times import datetime_of, day_text, seconds_of
 from tidemart.operators import dims, parse
-from tidemart.operators.windows import bounds
+from tidemart.operators.windows import bounds, windowed
 from tidemart.plans import trade, traffic, users
-from tidemart.sinks import BATCH, BatchWriter
+from tidemart.sinks import BATCH, BatchWriter, read_upserted, upsert_batches
 from tidemart.streaming import state
+from tidemart.streaming.lookups import Reader, enriched
 
 
 def start(writer: DataStreamWriter, every: str | None = None) -> StreamingQuery:
@@ -120,6 +122,94 @@ def order_window(latest: DataFrame, size: str = "10 seconds", delay: str = "2 se
     return trade.order_totals(marked.withColumn("unique", F.lit(1)).withColumnRenamed("is_first_day", "new"), size)
 
 
+# Details that wait for another stream, and windows over what was seen first.  Names are looked up
+# in the writer of the micro-batch, where a dimension is read anew.  The clock drives these jobs:
+# start them with a processing-time trigger.
+
+def cart_detail_batches(dictionary: Reader, write: BatchWriter) -> BatchWriter:
+    """Writer of additions to carts for a change-log stream."""
+    return enriched(write, trade.cart_add, dictionary)
+
+
+def payment_detail(log: DataFrame, details: DataFrame, ttl_ms: int = _ONE_DAY, salts: int = 4) -> DataFrame:
+    """Order details joined with their payments, whichever comes first; write them with
+    :func:`payment_detail_batches`."""
+    joined = state.pair_join(details.select(*trade.PAID_COLUMNS), trade.payments(log), "order_id", "_order",
+                             ttl_ms, "inner", salts)
+    return joined.drop("matched")
+
+
+def payment_detail_batches(dictionary: Reader, write: BatchWriter) -> BatchWriter:
+    return enriched(write, trade.payment_rows, dictionary)
+
+
+def refund_detail(log: DataFrame, ttl_ms: int = _ONE_DAY, salts: int = 4) -> DataFrame:
+    """Refund requests, at once without an order and again when that is marked refunded; write
+    them with :func:`refund_detail_batches`."""
+    return state.pair_join(trade.refund_requests(log), trade.refunded_orders(log), "order_id", "_order",
+                           ttl_ms, "left", salts)
+
+
+REFUND_VERSION = ("row_op_ts", "matched")
+
+
+def refund_detail_batches(dictionary: Reader, path: str) -> BatchWriter:
+    """Writer of an upserted table of refund details; :func:`read_refunds` gives it."""
+    return enriched(upsert_batches(path, ["id"], REFUND_VERSION),
+                    lambda df, names: trade.refund_rows(df, names, ["matched"]), dictionary)
+
+
+def read_refunds(spark: SparkSession, path: str) -> DataFrame:
+    return read_upserted(spark, path, ["id"], REFUND_VERSION).drop("matched")
+
+
+def province_window(latest: DataFrame, size: str = "10 seconds", delay: str = "2 seconds",
+                    ttl_ms: int = _ONE_DAY) -> DataFrame:
+    """Orders and amount per province of a stream of one row per detail.
+
+    An order counts with the first of its details that comes; after ``ttl_ms`` it is forgotten.
+    Write it with :func:`province_batches`.
+    """
+    rows = latest.select("order_id", "province_id", datetime_of(F.col("detail_create_time")).alias("event_time"),
+                         money(F.col("split_total_amount")).alias("amount")).where("event_time IS NOT NULL")
+    rows = rows.withColumn("_place", F.coalesce("province_id", F.lit("")))
+    flagged = state.first_seen(rows, ["order_id"], "event_time", ["_place"], ttl_ms).withWatermark("event_time", delay)
+    return windowed(flagged, "event_time", size, [
+        F.sum("is_first").alias("order_count"), total(F.col("amount")).alias("order_amount")], ["province_id"])
+
+
+def province_batches(provinces: Reader, path: str) -> BatchWriter:
+    """Upserted table by ``stt, province_id``, with the names of the time."""
+    return enriched(upsert_batches(path, ["stt", "province_id"]), trade.province_names, provinces)
+
+
+def sku_window(details: DataFrame, size: str = "10 seconds", delay: str = "2 seconds",
+               version: Sequence[str] = ("row_op_ts",), wait_ms: int = 5_000) -> DataFrame:
+    """Details and amount per user and sku of a stream of versions of details.
+
+    Each detail counts once, with the last version that comes within ``wait_ms`` of its first:
+    state holds the distinct details ahead of the window.  Write it as an upserted table with keys
+    ``stt, user_id, sku_id``; ``trade.spu_rows`` adds it up by brand, categories, user and product.
+    """
+    rows = details.select("id", "user_id", "sku_id", *version, datetime_of(F.col("detail_create_time")).alias("event_time"),
+                          money(F.col("split_total_amount")).alias("amount")).where("event_time IS NOT NULL")
+    latest = state.latest_after_delay(rows, "id", version, wait_ms).withWatermark("event_time", delay)
+    return trade.sku_totals(latest, size)
+
+
+def refund_window(refunds: DataFrame, size: str = "10 seconds", delay: str = "2 seconds",
+                  ties: Sequence[str] = (), ttl_ms: int = _ONE_DAY) -> DataFrame:
+    """Refund requests per user and sku, each request once; write it with :func:`refund_batches`."""
+    once = state.first_seen(refunds, ["id"], "row_op_ts", ties, ttl_ms, only=True)
+    rows = once.select("user_id", "sku_id", datetime_of(F.col("create_time")).alias("event_time"))
+    return trade.refund_totals(rows.where("event_time IS NOT NULL").withWatermark("event_time", delay), size)
+
+
+def refund_batches(catalog: Reader, path: str) -> BatchWriter:
+    """Upserted table by ``stt, user_id, sku_id``, with the catalog of the time."""
+    return enriched(upsert_batches(path, ["stt", "user_id", "sku_id"]), trade.refund_names, catalog)
+
+
 WIDE_SOURCES = (fixed.ORDER_DETAIL, fixed.ORDER_INFO, fixed.ORDER_DETAIL_ACTIVITY,
                 fixed.ORDER_DETAIL_COUPON)
 

@@ -25,6 +25,11 @@ def _millis(ts: datetime.datetime) -> int:
     return int(ts.timestamp() * 1_000_000) // 1000
 
 
+def _place(values) -> tuple:
+    """Values to compare by: a time that comes back from state has a zone, one of a row has none."""
+    return tuple(round(v.timestamp() * 1_000_000) if isinstance(v, datetime.datetime) else v for v in values)
+
+
 def _plain(value):
     """Rows as tuples at every depth, which is the form that state takes."""
     if isinstance(value, tuple):
@@ -208,20 +213,20 @@ def bounces(df: DataFrame, key: str, ts: str, entry: str, within_ms: int, delay:
 class LatestAfterDelay(StatefulProcessor):
     """Gives the row with the highest version a fixed time after a key's first row."""
 
-    def __init__(self, version: str, delay_ms: int, schema: T.StructType):
-        self.version, self.delay, self.schema = version, delay_ms, schema
+    def __init__(self, version: Sequence[str], delay_ms: int, schema: T.StructType):
+        self.version, self.delay, self.schema = list(version), delay_ms, schema
 
     def init(self, handle) -> None:
         self.handle = handle
         self.best = handle.getValueState("best", self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        place = self.schema.fieldNames().index(self.version)
+        places = [self.schema.fieldNames().index(c) for c in self.version]
         held = self.best.get() if self.best.exists() else None
-        top = max(rows, key=lambda r: r[self.version])
+        top = max(rows, key=lambda r: _place(r[i] for i in places))
         if held is None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay)
-        if held is None or top[self.version] > held[place]:
+        if held is None or _place(top[i] for i in places) > _place(held[i] for i in places):
             self.best.update(_plain(top))
         return iter(())
 
@@ -234,8 +239,9 @@ class LatestAfterDelay(StatefulProcessor):
         pass
 
 
-def latest_after_delay(df: DataFrame, key: str, version: str, delay_ms: int = 2000) -> DataFrame:
-    """One row per key and burst of versions; the version column must not be null."""
+def latest_after_delay(df: DataFrame, key: str, version: str | Sequence[str], delay_ms: int = 2000) -> DataFrame:
+    """One row per key and burst of versions; version columns must not be null."""
+    version = [version] if isinstance(version, str) else version
     return df.groupBy(key).transformWithState(
         LatestAfterDelay(version, delay_ms, df.schema), df.schema, "append", "ProcessingTime")
 
@@ -392,3 +398,125 @@ def touched_facts(df: DataFrame, parent: str) -> DataFrame:
     out = df.drop("_child").schema
     return df.groupBy(parent).transformWithState(
         TouchedFacts(out.fieldNames()), out, "append", "None")
+
+
+class FirstSeen(_Ordered):
+    """Marks the first row of a key; a key is forgotten ``ttl_ms`` after it was first seen.
+
+    Rows pass one by one, only the earliest of the micro-batch is held back until all have been
+    seen.  The time to live is that of the state store, by the clock and not by event time.
+    """
+
+    def __init__(self, ts: str, ties: Sequence[str], ttl_ms: int, only: bool):
+        super().__init__(ts, ties)
+        self.ttl, self.only = ttl_ms, only
+
+    def init(self, handle) -> None:
+        self.seen = handle.getValueState("seen", "yes boolean", self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.seen.exists()
+        best, place = None, None
+        for row in rows:
+            if not known:
+                at = tuple(row[c] for c in self.order)
+                if best is None or at < place:
+                    best, place, row = row, at, best
+            if row is not None and not self.only:
+                yield Row(**row.asDict(), is_first=0)
+        if best is not None:
+            self.seen.update((True,))
+            yield best if self.only else Row(**best.asDict(), is_first=1)
+
+
+def first_seen(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str] = (),
+               ttl_ms: int = 86_400_000, only: bool = False) -> DataFrame:
+    """Adds ``is_first``, 1 for the first row of a key (in a micro-batch, the earliest by ``ts`` and
+    ``ties``, which must not be null), or with ``only`` gives just these rows.
+
+    The result carries no watermark; set one on it to window it in the same query.
+    """
+    out = df.schema if only else _with(df.schema, is_first=T.LongType())
+    return df.groupBy(*keys).transformWithState(
+        FirstSeen(ts, ties, ttl_ms, only), out, "append", "ProcessingTime")
+
+
+class PairJoin(StatefulProcessor):
+    """Joins the two sides of a key in whatever order they come.
+
+    A new row is joined with all rows of the other side that the state holds, and then added to
+    its own list, whose rows each live ``ttl_ms``: the lists are appended to and read, never
+    rewritten.  The right side, of which a key has few rows, is read once per micro-batch.  As an
+    outer join a left row comes out alone at once if it has no partner, and again for each
+    partner that comes later.
+    """
+
+    CHUNK = 1_000
+
+    def __init__(self, left: T.StructType, right: T.StructType, ttl_ms: int, outer: bool):
+        self.left, self.right, self.ttl, self.outer = left, right, ttl_ms, outer
+
+    def init(self, handle) -> None:
+        self.lefts = handle.getListState("lefts", self.left, self.ttl)
+        self.rights = handle.getListState("rights", self.right, self.ttl)
+
+    def _joined(self, key, left, right):
+        names = ["_key", "_salt", *self.left.fieldNames(), *self.right.fieldNames(), "matched"]
+        return Row(**dict(zip(names, (*key, *left, *(right or [None] * len(self.right)), int(right is not None)))))
+
+    def handleInputRows(self, key, rows, timerValues):
+        partners = [_plain(r) for r in self.rights.get()] if self.rights.exists() else []
+        fresh = []
+        for row in rows:
+            if row["_left"]:
+                left = tuple(_plain(row[c]) for c in self.left.fieldNames())
+                for right in partners:
+                    yield self._joined(key, left, right)
+                if self.outer and not partners:
+                    yield self._joined(key, left, None)
+                fresh.append(left)
+                if len(fresh) >= self.CHUNK:
+                    self.lefts.appendList(fresh)
+                    fresh = []
+            else:
+                right = tuple(_plain(row[c]) for c in self.right.fieldNames())
+                for left in self.lefts.get() if self.lefts.exists() else ():
+                    yield self._joined(key, _plain(left), right)
+                for left in fresh:
+                    yield self._joined(key, left, right)
+                partners.append(right)
+                self.rights.appendValue(right)
+        if fresh:
+            self.lefts.appendList(fresh)
+
+    def close(self) -> None:
+        pass
+
+
+def pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, ttl_ms: int = 86_400_000,
+              how: str = "inner", salts: int = 4) -> DataFrame:
+    """Join of two streams without a time range between them, in bounded state.
+
+    The result has the columns of both, whose names must differ, and ``matched``: 0 for a left row
+    that came out alone.  Left rows of one key are dealt to ``salts`` parts by a hash and right
+    rows go to each part, so a key with very many left rows is several tasks'.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("an inner or a left join")
+
+    def tagged(df: DataFrame, key: str, other: DataFrame, is_left: bool) -> DataFrame:
+        parts = F.sequence(F.lit(0), F.lit(salts - 1))
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int") if is_left else F.explode(parts)
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
+        return df.where(F.col(key).isNotNull() | F.lit(is_left and how == "left")).select(
+            F.col(key).alias("_key"), salt.alias("_salt"), F.lit(is_left).alias("_left"), *df.columns, *none)
+
+    def nullable(schema: T.StructType) -> T.StructType:
+        return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    lefts, rights = nullable(left.schema), nullable(right.schema)
+    both = tagged(left, left_key, right, True).unionByName(tagged(right, right_key, left, False))
+    out = T.StructType([T.StructField("_key", left.schema[left_key].dataType), T.StructField("_salt", T.IntegerType()),
+                        *lefts.fields, *rights.fields, T.StructField("matched", T.LongType())])
+    joined = both.groupBy("_key", "_salt").transformWithState(
+        PairJoin(lefts, rights, ttl_ms, how == "left"), out, "append", "ProcessingTime")
+    return joined.drop("_key", "_salt")
