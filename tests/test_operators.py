@@ -1,5 +1,6 @@
 """Operators on small hand-written rows, edge cases first."""
 
+import contextlib
 import datetime as dt
 import json
 import random
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemart import schemas
 from tidemart.functions import durations, money, names, times, tokens
-from tidemart.operators import bounce, changelog, dims, joins, keyed, parse, skew, sliding
+from tidemart.operators import bounce, changelog, dims, joins, keyed, parse, ranged, skew, sliding
 from tidemart.plans import reports, trade, traffic, users
 from tidemart.sources import dictionary, snapshot_then_changes, space_records
 
@@ -33,6 +34,20 @@ def page_rows(spark, rows):
         "event_time timestamp")
 
 
+@contextlib.contextmanager
+def in_parts(spark, n):
+    """So many shuffle partitions, however few rows."""
+    names = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 # Bounces.
 
 @pytest.mark.parametrize("follow,expected", [
@@ -59,10 +74,10 @@ def test_bounces_cut_into_buckets_equal_a_plain_scan(spark):
             if a[2] is None and (b is None or b[2] is None or b[3] - a[3] >= 10):
                 expected.append(a[0])
     pages = page_rows(spark, rows).withColumn("mid", F.col("common.mid"))
-    for split in (1, 3, 64):
-        found = bounce.bounces(pages, "mid", "event_time", F.col("page.last_page_id").isNull(),
-                               "10 seconds", ["id"], split)
-        assert ids(found) == sorted(expected)
+    for parts in (1, 3, 64):
+        with in_parts(spark, parts):
+            found = bounce.bounces(pages, "mid", "event_time", F.col("page.last_page_id").isNull(), "10 seconds", ["id"])
+            assert ids(found) == sorted(expected)
 
 
 # Per-key operators.
@@ -85,13 +100,37 @@ def test_ordinals_equal_row_number(spark):
     for k in {r[1] for r in rows}:
         for n, r in enumerate(sorted((r for r in rows if r[1] == k), key=lambda r: (r[2], r[0])), 1):
             place[r[0]] = n
-    for bucket in ("1 hour", "1 day", "30 days"):
-        found = keyed.ordinals(df, ["k"], "ts", ["id"], bucket)
-        assert {r.id: r.ordinal for r in found.collect()} == place
-        assert found.columns == ["id", "k", "ts", "ordinal"]
+    for parts in (1, 4, 40):
+        with in_parts(spark, parts):
+            found = keyed.ordinals(df, ["k"], "ts", ["id"])
+            assert {r.id: r.ordinal for r in found.collect()} == place
+            assert found.columns == ["id", "k", "ts", "ordinal"]
     assert ids(keyed.toggle(df, ["k"], "ts", ["id"])) == sorted(i for i, n in place.items() if n % 2)
 
 
+def test_a_hot_key_is_cut_by_its_rows(spark):
+    """A third of all rows are one key's, in one second: no part holds more than twice its share."""
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        F.lit(T0).alias("ts"), F.col("id").alias("n"))
+    with in_parts(spark, 12):
+        dealt = ranged.ranged(rows, ["k"], ["ts", "n"])
+        sizes = [r["count"] for r in dealt.groupBy(ranged.PART).count().collect()]
+        hot = dealt.where("k = 'hot'").select(ranged.PART).distinct().count()
+        placed = ranged.with_place(dealt, ["k"], ["ts", "n"], "place").where("k = 'hot'").collect()
+    assert len(sizes) >= 10 and max(sizes) <= 2 * 9_000 / 12 and hot >= 4
+    assert {r.n: r.place for r in placed} == {n: n // 3 + 1 for n in range(0, 9_000, 3)}
+
+
+def test_rows_without_an_order_among_them_are_split_too(spark):
+    same = spark.range(4_000).select(F.lit("k").alias("k"), F.lit(T0).alias("ts"))
+    with in_parts(spark, 8):
+        dealt = ranged.ranged(same, ["k"], ["ts"])
+        assert dealt.select(ranged.PART).distinct().count() >= 7
+        places = ranged.with_place(dealt, ["k"], ["ts"], "place")
+        assert sorted(r.place for r in places.collect()) == list(range(1, 4_001))
+
+
 def test_latest_by_key_with_ties(spark):
     df = spark.createDataFrame([("a", 1, 9), ("a", 2, 5), ("a", 2, 3), ("b", 1, 1)], "k string, v int, t int")
     rows = keyed.latest_by_key(df, ["k"], ["v"], ["t"]).collect()
@@ -123,14 +162,14 @@ def test_skewed_join_equals_plain_join(spark):
                                   "k string, v int")
     for how in ("inner", "left"):
         for most in (1, 5, 1000):
-            mine = skew.skewed_join(big, small, ["k"], how, most=most, salts=4)
+            mine = skew.skewed_join(big, small, ["k"], how, parts=most)
             plain = big.join(small, "k", how).select("k", "id", "v")
             assert sorted(map(repr, mine.select("k", "id", "v").collect())) == sorted(map(repr, plain.collect()))
 
 
 def test_hot_keys_are_bounded_and_hold_the_heavy_one(spark):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k")
-    hot = [r.k for r in skew.hot_keys(df, ["k"], most=10).collect()]
+    hot = [r.k for r in skew.hot_keys(df, ["k"], parts=10).collect()]
     assert len(hot) == 10 and "hot" in hot
 
 

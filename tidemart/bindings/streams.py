@@ -11,8 +11,8 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.bindings import frames
-from tidemart.bindings.registry import DETAILS, ENTRIES, PAGES, bounces, query, span, text
-from tidemart.bindings.traffic import DAY, HALF_DAY, LOG_ROUTE_SQL, TIES, keyword_sql, route_fields
+from tidemart.bindings.registry import DAILY_ENTRIES, DETAILS, ENTRIES, PAGES, bounces, query, span, text
+from tidemart.bindings.traffic import DAY, HALF_DAY, LOG_ROUTE_SQL, PAGE_VIEWS, TIES, keyword_sql, route_fields
 from tidemart.operators import joins
 from tidemart.plans import keywords, traffic, users
 from tidemart.session import shared_dir, stored
@@ -20,35 +20,23 @@ from tidemart.sinks import BATCH, BatchWriter, append_batches, for_each, read_up
 from tidemart.streaming import jobs, state
 
 
-class StreamTables(frames.Tables):
-    """The same tables as file streams."""
-
-    def __init__(self, t: frames.Tables):
-        super().__init__(t.spark, t.folder)
-
-    def __getattr__(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}.parquet"
-        schema = self.spark.read.parquet(path).schema
-        # A pattern, because a plain path would have to be a folder.
-        return frames.instants(self.spark.readStream.schema(schema).parquet(
-            f"{self.folder}/{name}.parque[t]"))
-
-
 class SlicedEvents:
     """Events as the stream of a folder that grows by one time slice after another.
 
-    The last slice is a single view by a visitor of its own, ``ahead`` of all others, which
-    moves the watermark past them; it keeps waiting itself.
+    With ``ahead`` the last slice is a single view by a visitor of its own, so far ahead of all
+    others, which moves the watermark past them; it keeps waiting itself.
     """
 
-    def __init__(self, t: frames.Tables, ahead: str, count: int = 4):
+    def __init__(self, t: frames.Tables, ahead: str | None = None, count: int = 2):
         micros = F.unix_micros("ts")
         low, high = t.events.agg(F.min(micros), F.max(micros)).first()
         part = F.floor((micros - F.lit(low)) * count / F.lit((high or 0) - (low or 0) + 1))
-        end = t.events.agg((F.max("ts") + F.expr(f"INTERVAL {ahead}")).alias("ts")).where("ts IS NOT NULL")
-        closing = end.select(F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"),
-                             F.lit("view").alias("event_type"), F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props"))
-        self.parts = [*[t.events.where(F.coalesce(part, F.lit(0)) == n) for n in range(count)], closing]
+        self.parts = [t.events.where(F.coalesce(part, F.lit(0)) == n) for n in range(count)]
+        if ahead:
+            end = t.events.agg((F.max("ts") + F.expr(f"INTERVAL {ahead}")).alias("ts")).where("ts IS NOT NULL")
+            self.parts.append(end.select(
+                F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"),
+                F.lit("view").alias("event_type"), F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props")))
         self.folder = shared_dir(t.spark, "event-slices")
         t.events.limit(0).write.parquet(self.folder)
         self.events = t.spark.readStream.schema(t.events.schema).parquet(self.folder)
@@ -102,10 +90,10 @@ def _run(t: frames.Tables, df: DataFrame, write: BatchWriter, base: str, arrival
             jobs.start(for_each(df, write, f"{base}/checkpoint", mode)).awaitTermination()
 
 
-def _appended(t: frames.Tables, df: DataFrame, name: str, arrivals: Iterable[None] = (None,)) -> DataFrame:
+def _appended(t: frames.Tables, df: DataFrame, name: str, arrivals: Iterable[None] = (None,), clock: bool = False) -> DataFrame:
     """Run an append-mode stream and read what it wrote."""
     base = shared_dir(t.spark, name)
-    _run(t, df, append_batches(f"{base}/table"), base, arrivals)
+    _run(t, df, append_batches(f"{base}/table"), base, arrivals, clock=clock)
     return t.spark.read.schema(df.schema).parquet(f"{base}/table").drop(BATCH)
 
 
@@ -116,35 +104,44 @@ def _upserted(t: frames.Tables, df: DataFrame, name: str, keys: list[str], arriv
     return read_upserted(t.spark, f"{base}/table", keys)
 
 
-@query("stream_page_view_window", f"""
-WITH {PAGES}
-SELECT {span('t', DAY)}, vc, ch, ar, is_new, count(*) AS pv_ct,
-       count(*) FILTER (event_type = 'view') AS sv_ct, CAST(sum(during_time) AS BIGINT) AS dur_sum
-FROM pages GROUP BY ALL""")
+@query("stream_page_view_window", f"WITH {PAGE_VIEWS} SELECT * FROM views")
 def stream_page_view_window(t):
-    """Page views per day in update mode, kept as one row per window and key."""
-    pages = frames.pages(StreamTables(t)).withWatermark("event_time", "12 seconds")
-    totals = traffic.page_view_totals(traffic.page_measures(pages), "1 day")
-    kept = _upserted(t, totals, "page-views", ["stt", *traffic.VISIT_KEYS])
-    return kept.select("stt", "edt", *traffic.VISIT_KEYS, "pv_ct", "sv_ct", "dur_sum")
+    """Five traffic measures per day: visitors and bounces are streams of their own, read with
+    the pages by a third query that waits for the bounces."""
+    base = shared_dir(t.spark, "page-views")
+    sliced = SlicedEvents(t, "13 HOURS")
+    pages = frames.pages(sliced)
+    parts = {"uv": jobs.uv_detail(pages, TIES), "uj": jobs.bounce_detail(pages, "12 hours", "2 seconds", TIES)}
+    for name in parts:
+        t.spark.createDataFrame([], parts[name].schema).write.parquet(f"{base}/{name}/table")
+    streams = [t.spark.readStream.schema(df.schema).parquet(f"{base}/{name}/table") for name, df in parts.items()]
+    others = [df.where("common.mid <> '-1'") for df in (pages, *streams)]
+    totals, keys = jobs.page_view_window(*others, size="1 day", delay="2 seconds"), ["stt", *traffic.VISIT_KEYS]
+    for _ in sliced.grow():
+        for name, df in parts.items():
+            _run(t, df, lambda rows, n, name=name: rows.write.mode("append").parquet(f"{base}/{name}/table"), f"{base}/{name}",
+                 clock=name == "uv")
+        _run(t, totals, upsert_batches(f"{base}/table", keys), base, mode="update")
+    return read_upserted(t.spark, f"{base}/table", keys)
 
 
 @query("stream_keyword_window", keyword_sql(
     "SELECT 'search' AS source, 'Item ' || k || ' - ' || event_type AS keyword, t FROM pages WHERE event_type = 'click'"))
 def stream_keyword_window(t):
     """Search words per day in update mode."""
-    pages = frames.pages(StreamTables(t)).withWatermark("event_time", "5 seconds")
-    return _upserted(t, keywords.keyword_window(pages, "1 day"), "keywords",
-                     ["stt", "source", "keyword"])
+    sliced = SlicedEvents(t)
+    pages = frames.pages(sliced).withWatermark("event_time", "5 seconds")
+    return _upserted(t, keywords.keyword_window(pages, "1 day"), "keywords", ["stt", "source", "keyword"], sliced.grow())
 
 
 @query("stream_uv_detail", f"""
-WITH {ENTRIES} SELECT DISTINCT mid, CAST(CAST(t AS DATE) AS VARCHAR) AS day FROM entries""")
+WITH {DAILY_ENTRIES} SELECT event_id, mid, CAST(CAST(t AS DATE) AS VARCHAR) AS day FROM uv""")
 def stream_uv_detail(t):
-    """Visitors per day, each once."""
-    rows = jobs.uv_detail(frames.pages(StreamTables(t))).select(
-        F.col("common.mid").alias("mid"), F.to_date("event_time").cast("string").alias("day"))
-    return _appended(t, rows, "uv")
+    """Visitors per day, each by its first entry."""
+    sliced = SlicedEvents(t)
+    rows = jobs.uv_detail(frames.pages(sliced), TIES).select(
+        "event_id", F.col("common.mid").alias("mid"), F.to_date("event_time").cast("string").alias("day"))
+    return _appended(t, rows, "uv", sliced.grow(), clock=True)
 
 
 @query("stream_bounce_detail", f"""
@@ -152,7 +149,7 @@ WITH {PAGES}, {bounces(HALF_DAY)}
 SELECT event_id, mid, {text('t')} AS at FROM uj""")
 def stream_bounce_detail(t):
     """All bounces, from events that arrive in slices."""
-    sliced = SlicedEvents(t, "13 HOURS")
+    sliced = SlicedEvents(t, "13 HOURS", 4)
     rows = jobs.bounce_detail(frames.pages(sliced), "12 hours", "2 seconds", TIES)
     return _appended(t, rows, "bounces", sliced.grow()).select(
         "event_id", F.col("common.mid").alias("mid"),
@@ -167,11 +164,12 @@ SELECT event_id, mid, CASE WHEN is_new = '1' AND flag0 = '1' AND CAST(t AS DATE)
                            THEN '1' ELSE '0' END AS is_new FROM f""")
 def stream_is_new_fix(t):
     """New-visitor flag corrected in state."""
-    rows = frames.pages(StreamTables(t)).select(
+    sliced = SlicedEvents(t)
+    rows = frames.pages(sliced).select(
         "event_id", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
         "event_time", F.to_date("event_time").alias("day"))
     fixed = state.new_flag(rows, "mid", "event_time", "day", "is_new", TIES)
-    return _appended(t, fixed, "is-new").select("event_id", "mid", "is_new")
+    return _appended(t, fixed, "is-new", sliced.grow()).select("event_id", "mid", "is_new")
 
 
 @query("stream_logins", f"""
@@ -181,8 +179,9 @@ SELECT uid, CAST(day AS VARCHAR) AS day, CAST(before IS NULL AS BIGINT) AS is_fi
        CAST(coalesce(day - before > 3, false) AS BIGINT) AS is_back FROM g""")
 def stream_logins(t):
     """Daily logins with first-day and returning marks, from state."""
-    marked = jobs.day_marks(users.logins(frames.pages(StreamTables(t))), "uid", "event_time", gap=3)
-    return _appended(t, marked, "logins").select(
+    sliced = SlicedEvents(t)
+    marked = jobs.day_marks(users.logins(frames.pages(sliced)), "uid", "event_time", gap=3)
+    return _appended(t, marked, "logins", sliced.grow()).select(
         "uid", "day", "is_first_day", "is_back")
 
 
@@ -191,8 +190,9 @@ SELECT event_id, user_id, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) % 2 = 1""")
 def stream_toggle_filter(t):
     """Every other event of a user and type, from state."""
-    rows = StreamTables(t).events.select("event_id", "user_id", "event_type", "ts")
-    return _appended(t, state.toggle(rows, ["user_id", "event_type"], "ts", TIES), "toggle").drop("ts")
+    sliced = SlicedEvents(t)
+    rows = sliced.events.select("event_id", "user_id", "event_type", "ts")
+    return _appended(t, state.toggle(rows, ["user_id", "event_type"], "ts", TIES), "toggle", sliced.grow()).drop("ts")
 
 
 @query("stream_interval_join", """
@@ -201,7 +201,7 @@ ON v.user_id = c.user_id AND c.ts BETWEEN v.ts - INTERVAL 6 HOUR AND v.ts + INTE
 WHERE v.event_type = 'view' AND c.event_type = 'click'""")
 def stream_interval_join(t):
     """Views and clicks of a user within six hours, both as streams."""
-    s = StreamTables(t)
+    s = SlicedEvents(t)
     views = s.events.where("event_type = 'view'").select(
         "user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
     clicks = s.events.where("event_type = 'click'").select(
@@ -209,7 +209,7 @@ def stream_interval_join(t):
         F.col("ts").alias("click_ts"))
     pairs = joins.stream_interval_join(views, clicks, "user_id", "click_user", "view_ts",
                                        "click_ts", "-6 hours", "6 hours")
-    return _appended(t, pairs.select("user_id", "view_id", "click_id"), "interval")
+    return _appended(t, pairs.select("user_id", "view_id", "click_id"), "interval", s.grow())
 
 
 @query("stream_login_window", f"""
@@ -220,8 +220,9 @@ SELECT {span('t', DAY)}, count(*) FILTER (gap > 3) AS back_ct, count(*) AS uu_ct
 FROM g GROUP BY stt, edt""")
 def stream_login_window(t):
     """Daily logins: state and window in one streaming query."""
-    totals = jobs.login_window(frames.pages(StreamTables(t)), "1 day", gap=3)
-    return _upserted(t, totals, "login-window", ["stt"])
+    sliced = SlicedEvents(t)
+    totals = jobs.login_window(frames.pages(sliced), "1 day", gap=3)
+    return _upserted(t, totals, "login-window", ["stt"], sliced.grow())
 
 
 @query("stream_home_detail_window", f"""
@@ -232,8 +233,9 @@ SELECT {span('t', 3600)}, count(*) FILTER (event_type = 'view') AS home_uv_ct,
        count(*) FILTER (event_type = 'click') AS good_detail_uv_ct FROM d GROUP BY stt, edt""")
 def stream_home_detail_window(t):
     """Daily visitors of two pages, per hour: state and window in one query."""
-    totals = jobs.home_detail_window(frames.pages(StreamTables(t)), "1 hour")
-    return _upserted(t, totals, "home-detail", ["stt"])
+    sliced = SlicedEvents(t)
+    totals = jobs.home_detail_window(frames.pages(sliced), "1 hour")
+    return _upserted(t, totals, "home-detail", ["stt"], sliced.grow())
 
 
 @query("stream_register_window", f"""
@@ -241,18 +243,20 @@ SELECT {span('ts', 3600)}, count(*) AS register_ct FROM events WHERE event_type
 GROUP BY stt, edt""")
 def stream_register_window(t):
     """Registrations per hour in update mode."""
-    registered = users.register_detail(frames.user_changes(StreamTables(t)))
-    return _upserted(t, jobs.register_window(registered, "1 hour"), "register", ["stt"])
+    sliced = SlicedEvents(t)
+    registered = users.register_detail(frames.user_changes(sliced))
+    return _upserted(t, jobs.register_window(registered, "1 hour"), "register", ["stt"], sliced.grow())
 
 
 @query("stream_log_route", LOG_ROUTE_SQL)
 def stream_log_route(t):
     """The raw log split by one streaming query into one folder per route."""
-    base = shared_dir(t.spark, "log-route")
-    routed = jobs.split_log(frames.log_lines(StreamTables(t)))
-    with _settings(t.spark):
-        jobs.start(to_files(routed, f"{base}/table", f"{base}/checkpoint")
-                   .partitionBy("route")).awaitTermination()
+    base, sliced = shared_dir(t.spark, "log-route"), SlicedEvents(t)
+    routed = jobs.split_log(frames.log_lines(sliced))
+    for _ in sliced.grow():
+        with _settings(t.spark):
+            jobs.start(to_files(routed, f"{base}/table", f"{base}/checkpoint")
+                       .partitionBy("route")).awaitTermination()
     return route_fields(t.spark.read.schema(routed.schema).parquet(f"{base}/table"))
 
 

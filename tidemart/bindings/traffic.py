@@ -46,6 +46,33 @@ def log_parse_dirty(t):
         dirty.select("event_id", F.lit("dirty").alias("route"), F.lit(None).cast("int").alias("k")))
 
 
+@query("page_log_json", """
+SELECT CAST(user_id AS VARCHAR) AS mid, event_type AS page_id, epoch_us(ts) // 1000 AS ts,
+       strftime(make_timestamp_ms(epoch_us(ts) // 1000), '%Y-%m-%d %H:%M:%S') AS event_time
+FROM events WHERE event_type <> 'signup' AND NOT (event_type = 'error' AND CAST(json_extract_string(props, '$.k') AS INTEGER) < 10)""")
+def page_log_json(t):
+    """The raw log as typed page records; starts and broken lines are none."""
+    log = parse.page_log(frames.log_lines(t))
+    return log.select(F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts",
+                      F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"))
+
+
+@query("change_log_json", """
+SELECT 'shop' AS database, 'cart_info' AS "table", 'insert' AS type, CAST(epoch_us(l_shipdate) // 1000000 AS VARCHAR) AS ts,
+       l_orderkey || '-' || l_linenumber AS id, CAST(l_partkey AS VARCHAR) AS sku_id, CAST(NULL AS VARCHAR) AS old_sku
+FROM lineitem""")
+def change_log_json(t):
+    """JSON change records as a typed change log."""
+    record = F.struct(
+        F.lit("shop").alias("database"), F.lit("cart_info").alias("table"), F.lit("insert").alias("type"),
+        F.unix_seconds("l_shipdate").cast("string").alias("ts"),
+        F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_partkey").alias("sku_id")).alias("data"))
+    log = parse.change_log(t.lineitem.select(F.to_json(record).alias("value")))
+    return log.where("proc_time IS NOT NULL").select(
+        "database", "table", "type", "ts", F.col("data")["id"].alias("id"), F.col("data")["sku_id"].alias("sku_id"),
+        F.col("old")["sku_id"].alias("old_sku"))
+
+
 LOG_ROUTE_SQL = f"""
 WITH {LOG_SQL}
 SELECT 'start' AS route, NULL AS mid, NULL AS is_new, NULL AS page, CAST(k AS VARCHAR) AS item, NULL AS ms

@@ -30,7 +30,7 @@ def cjk_bigrams(text: Column) -> Column:
     return F.flatten(F.transform(runs, pieces))
 
 
-@udtf(returnType="word string")
+@udtf(returnType="word string", useArrow=True)
 class SplitWords:
     """Table function form for ``lateralJoin`` and SQL ``LATERAL``.
 

@@ -4,33 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.functions.durations import bucket_start, micros
+from tidemart.functions.durations import micros
+from tidemart.operators.ranged import PART, ROW, ranged, with_next
 
 
 def bounces(df: DataFrame, key: str, ts: str, is_entry: Column, within: str = "10 seconds",
-            ties: Sequence[str] = (), split: int = 64) -> DataFrame:
+            ties: Sequence[str] = ()) -> DataFrame:
     """Entry rows whose next row of the same key is itself an entry, comes ``within``
     or more later, or does not exist.
 
-    Only the next ``within`` of time can turn an entry into a visit, so a visitor is
-    cut into time buckets of ``split * within`` and each bucket also gets the rows
-    of the first ``within`` of the bucket after it.  That copies about ``1 / split``
-    of the rows and lets a visitor with a third of all rows run in many tasks.
+    A visitor with a third of all rows is cut into parts of about equal size, however its rows
+    lie in time; see :mod:`tidemart.operators.ranged`.
     """
-    reach, size = micros(within), micros(within) * split
-    at = F.unix_micros(ts)
-    home = bucket_start(at, size)
-    early = at - home < reach
-    cut = (df.withColumn("_entry", F.coalesce(is_entry, F.lit(False)))
-             .withColumn("_bucket", F.explode(
-                 F.when(early, F.array(home, home - size)).otherwise(F.array(home))))
-             .withColumn("_own", F.col("_bucket") == home))
-    span = Window.partitionBy(key, "_bucket").orderBy(ts, *ties)
-    told = (cut.withColumn("_next_entry", F.lead("_entry").over(span))
-               .withColumn("_next_at", F.lead(at).over(span)))
-    left = (F.col("_next_at").isNull() | F.col("_next_entry")
-            | (F.col("_next_at") - at >= reach))
-    return (told.where(F.col("_own") & F.col("_entry") & left)
-                .drop("_entry", "_bucket", "_own", "_next_entry", "_next_at"))
+    at, order = F.unix_micros(ts), [ts, *ties]
+    marked = df.withColumn("_entry", F.coalesce(is_entry, F.lit(False)))
+    rows = ranged(marked, [key], order)
+    following = F.struct(F.col("_entry").alias("entry"), at.alias("at"))
+    told = with_next(rows, [key], order, following, "_next")
+    left = F.col("_next").isNull() | F.col("_next.entry") | (F.col("_next.at") - at >= micros(within))
+    return told.where(F.col("_entry") & left).drop("_entry", "_next", PART, ROW)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemart.fixed import DEFAULT_PK, DIMENSION_TYPES
 from tidemart.operators.changelog import flatten_envelopes
 from tidemart.operators.keyed import latest_by_key
-from tidemart.operators.skew import checked_broadcast, skewed_join
+from tidemart.operators.skew import skewed_join
 from tidemart.schemas import TABLE_CONFIG
 
 
@@ -34,15 +34,13 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
 
     Adds ``sink_table`` and ``sink_pk``.  The key stays, whether it is a configured column
     or not.  Other tables and change types are left out.
-    There are few source tables and one may have most of the changes, so the changes
-    must not be shuffled by table name: the configuration is broadcast after its rows
-    were counted, and a larger one is joined with the busy tables split.
+    There are few source tables and one may have most of the changes, so the changes of the
+    busy ones are cut by their number of rows and not all sent to one task.
     """
     setup = config.select(F.col("source_table").alias("table"), "sink_table", "sink_pk",
                           F.split("sink_columns", ",").alias("_columns"))
     kept = changes.where(F.col("type").isin(*DIMENSION_TYPES))
-    small = checked_broadcast(setup)
-    joined = kept.join(small, "table") if small is not None else skewed_join(kept, setup, ["table"])
+    joined = skewed_join(kept, setup, ["table"])
     data = F.map_filter("data", lambda k, _: F.array_contains("_columns", k) | (k == F.col("sink_pk")))
     return joined.withColumn("data", data).select(*changes.columns, "sink_table", "sink_pk")
 
@@ -62,12 +60,38 @@ def table_schema(sink_columns: str, sink_pk: str | None = None) -> T.StructType:
 
 
 def create_table_sql(sink_table: str, sink_columns: str, sink_pk: str | None = None,
-                     sink_extend: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` for a first configuration row."""
+                     sink_extend: str | None = None, part: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` for a first configuration row; ``part`` names a whole
+    number by which the table is partitioned."""
     schema = table_schema(sink_columns, sink_pk)
-    body = ", ".join(f"`{f.name}` STRING{'' if f.nullable else ' NOT NULL'}"
-                     for f in schema.fields)
-    return f"CREATE TABLE IF NOT EXISTS {sink_table} ({body}) USING parquet {sink_extend or ''}".strip()
+    body = [f"`{f.name}` STRING{'' if f.nullable else ' NOT NULL'}" for f in schema.fields]
+    split = f" PARTITIONED BY (`{part}`)" if part else ""
+    return (f"CREATE TABLE IF NOT EXISTS {sink_table} ({', '.join([*body, *([f'`{part}` INT'] if part else [])])}) "
+            f"USING parquet{split} {sink_extend or ''}").strip()
+
+
+def cells(routed: DataFrame, version: Sequence[str]) -> DataFrame:
+    """``key, cells`` of routed changes of one table: by column, its version and value."""
+    key = F.col("data")[F.col("sink_pk")]
+    cell = F.transform_values("data", lambda _, v: F.struct(*version, v.alias("value")))
+    return routed.where(key.isNotNull()).select(key.alias("key"), cell.alias("cells"))
+
+
+def merged_cells(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """One row per key: of each column the value with the highest version.
+
+    ``keep`` names further columns, that are equal for a key or of which the largest is kept.
+    Cells are added up in the input tasks; a key has as many as its table has columns.
+    """
+    each = rows.select("key", *keep, F.explode("cells").alias("name", "cell"))
+    best = each.groupBy("key", "name").agg(F.max("cell").alias("cell"), *[F.max(c).alias(c) for c in keep])
+    return best.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("name", "cell"))).alias("cells"),
+                                   *[F.max(c).alias(c) for c in keep])
+
+
+def wide(rows: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of a dimension table from its cells."""
+    return rows.select(*[F.col("cells")[c]["value"].alias(c) for c in columns], *keep)
 
 
 def keyless(routed: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemart.functions.durations import bucket_start, micros
 from tidemart.functions.times import day_gap
+from tidemart.operators.ranged import PART, ROW, ranged, with_place
 from tidemart.operators.skew import skewed_join
 
 
@@ -63,34 +63,20 @@ def returning(days: DataFrame, user: str, day: str = "date", gap: int = 7) -> Da
     return days.withColumn("is_back", back.cast("bigint"))
 
 
-def ordinals(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Column | str],
-             bucket: str = "1 day", out: str = "ordinal") -> DataFrame:
+def ordinals(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
+             out: str = "ordinal") -> DataFrame:
     """1-based place of each row within its key, ordered by ``ts`` then ``order``.
 
-    A plain ``row_number`` would put all rows of a key in one task.  Here a key is
-    cut into time buckets: bucket sizes are counted first (combined before the
-    shuffle), summed up per key over its buckets, and handed to each bucket as a
-    header row in front of its own rows.  The rows themselves are shuffled once.
+    A plain ``row_number`` would put all rows of a key in one task.  Here a busy key is
+    cut into parts of about equal size; see :mod:`tidemart.operators.ranged`.
     """
-    keys = list(keys)
-    cut = df.withColumn("_bucket", bucket_start(F.unix_micros(ts), micros(bucket)))
-    sizes = cut.groupBy(*keys, "_bucket").agg(F.count("*").alias("_size"))
-    earlier = (Window.partitionBy(*keys).orderBy("_bucket")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    headers = sizes.select(*keys, "_bucket", F.lit(0).alias("_row"),
-                           F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    rows = cut.withColumn("_row", F.lit(1))
-    span = Window.partitionBy(*keys, "_bucket").orderBy("_row", ts, *order)
-    place = F.first("_before").over(span) + F.row_number().over(span) - 1
-    return (rows.unionByName(headers, allowMissingColumns=True)
-                .withColumn(out, place).where(F.col("_row") == 1)
-                .drop("_bucket", "_row", "_before"))
-
-
-def toggle(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Column | str],
-           bucket: str = "1 day") -> DataFrame:
+    rows = ranged(df, keys, [ts, *order])
+    return with_place(rows, keys, [ts, *order], out).drop(PART, ROW)
+
+
+def toggle(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str]) -> DataFrame:
     """Keep the 1st, 3rd, 5th … occurrence of each key."""
-    placed = ordinals(df, keys, ts, order, bucket, out="_place")
+    placed = ordinals(df, keys, ts, order, out="_place")
     return placed.where(F.col("_place") % 2 == 1).drop("_place")
 
 

@@ -109,3 +109,22 @@ def snapshot_then_changes(snapshot: DataFrame, table: str, envelopes: DataFrame)
         empty.alias("before"), image.alias("after"),
         F.struct(F.lit(table).alias("table")).alias("source"), F.lit("r").alias("op"))
     return flatten_envelopes(first).unionByName(flatten_envelopes(envelopes))
+
+
+def with_snapshot(spark: SparkSession, snapshot: DataFrame, table: str, folder: str, position: str, at: int) -> None:
+    """Put a table's snapshot, taken at a position of its change stream, into the folder of
+    envelopes that a stream reads; call it once, before the stream starts."""
+    image = F.map_from_arrays(F.array(*[F.lit(c) for c in snapshot.columns]),
+                              F.array(*[F.col(c).cast("string") for c in snapshot.columns]))
+    schema = spark.read.parquet(folder).schema
+    rows = snapshot.select(F.create_map().cast("map<string,string>").alias("before"), image.alias("after"),
+                           F.struct(F.lit(table).alias("table")).alias("source"), F.lit("r").alias("op"),
+                           F.lit(at).cast("long").alias(position))
+    every = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    rows.select(*every).write.mode("append").parquet(folder)
+
+
+def handed_over(envelopes: DataFrame, position: str, at: int) -> DataFrame:
+    """Of a stream that starts with a snapshot, the snapshot and the changes made after it:
+    those up to its position, which the change stream repeats, are in it already."""
+    return envelopes.where((F.col("op") == "r") | (F.col(position) > at))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemart import fixed, schemas
@@ -14,11 +15,14 @@ from tidemart.functions.times import datetime_of, day_text, seconds_of
 from tidemart.operators import dims, parse
 from tidemart.operators.windows import bounds, windowed
 from tidemart.plans import trade, traffic, users
-from tidemart.sinks import BATCH, BatchWriter, read_upserted, upsert_batches
+from tidemart.sinks import BATCH, BatchWriter, read_upserted, tables, upsert_batches
 from tidemart.streaming import state
 from tidemart.streaming.lookups import Reader, enriched
 
 
+_ONE_DAY = 86_400_000
+
+
 def start(writer: DataStreamWriter, every: str | None = None) -> StreamingQuery:
     """Run continuously every so often, or once over all that has arrived."""
     return (writer.trigger(processingTime=every) if every
@@ -46,9 +50,17 @@ def daily_first(df: DataFrame, keys: Sequence[str], ts: str, keep: str = "1 day"
     return dated.dropDuplicatesWithinWatermark([*keys, "_day"]).drop("_day")
 
 
-def uv_detail(pages: DataFrame) -> DataFrame:
+def uv_detail(pages: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """First entry page of each device and day.
+
+    With ``ties`` it is the earliest of the micro-batch that brings the first one, and state lives
+    for a day by the clock; without, any of them, in a built-in operator.
+    """
     with_mid = traffic.entries(pages).withColumn("_mid", F.col("common.mid"))
-    return daily_first(with_mid, ["_mid"], "event_time").drop("_mid")
+    if not ties:
+        return daily_first(with_mid, ["_mid"], "event_time").drop("_mid")
+    dated = with_mid.withColumn("_day", F.to_date("event_time"))
+    return state.first_seen(dated, ["_mid", "_day"], "event_time", ties, _ONE_DAY, only=True).drop("_mid", "_day")
 
 
 def bounce_detail(pages: DataFrame, within: str = "10 seconds", delay: str = "2 seconds",
@@ -62,9 +74,14 @@ def bounce_detail(pages: DataFrame, within: str = "10 seconds", delay: str = "2
 
 def page_view_window(pages: DataFrame, uv: DataFrame, uj: DataFrame, size: str = "10 seconds",
                      delay: str = "12 seconds") -> DataFrame:
-    """The three streams in one window; the delay leaves time for late bounces."""
-    rows = traffic.page_view_measures(pages, uv, uj).withWatermark("event_time", delay)
-    return traffic.page_view_totals(rows, size)
+    """The three streams in one window.
+
+    Each has a watermark of its own and the slowest counts for all, which is Spark's policy where
+    none is set.  So a bounce, which comes out only after its visitor has been away for long
+    enough, is in time however far the pages are ahead.
+    """
+    marked = [s.withWatermark("event_time", delay) for s in (pages, uv, uj)]
+    return traffic.page_view_totals(traffic.page_view_measures(*marked), size)
 
 
 def sliding_distinct(df: DataFrame, ts: str, keys: Sequence[str], value: str, size: str,
@@ -85,9 +102,6 @@ def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, ties: Sequence[
     return state.day_marks(dated, keys, ts, "day", ties, gap, delay, keep_ms)
 
 
-_ONE_DAY = 86_400_000
-
-
 def home_detail_window(pages: DataFrame, size: str = "3 seconds", delay: str = "1 second") -> DataFrame:
     two = traffic.home_and_detail(pages)
     firsts = day_marks(two, ["mid", "page_id"], "event_time", delay=delay, keep_ms=_ONE_DAY)
@@ -271,6 +285,62 @@ def read_dimension(spark: SparkSession, base: str, sink_table: str, sink_columns
                          [BATCH, F.col("ts").try_cast("bigint")])
 
 
+def dimension_table_batches(base: str, config: Reader, version: Sequence[str] = ("ts",), parts: int = tables.PARTS,
+                            stream: str = "main", catalog: bool = False) -> BatchWriter:
+    """Micro-batch writer that keeps every dimension table up to date in place.
+
+    The configuration is read anew for each micro-batch.  Its rows are counted and then gone
+    through one by one, as they are few: a table is written for each that has changes.  With
+    ``catalog`` the first row of a table also creates it in the catalog, columns that its
+    configuration gains are added, and the partitions written are put into it.
+    :func:`read_dimension_table` gives a table without the catalog.
+    """
+    def write(df: DataFrame, batch: int) -> None:
+        spark = df.sparkSession
+        setup = config(spark)
+        if setup.limit(MOST_TABLES + 1).count() > MOST_TABLES:
+            raise ValueError(f"more than {MOST_TABLES} dimension tables are configured")
+        routed = dims.route(df, setup).select("sink_table", "sink_pk", "data", *version)
+        path = f"{base}/_routed/{stream}/{BATCH}={batch}"
+        routed.write.mode("overwrite").partitionBy("sink_table").parquet(path)
+        changes = spark.read.schema(routed.schema).parquet(path)
+        for row in setup.collect():
+            columns = dims.column_list(row.sink_columns, row.sink_pk)
+            publish = None
+            if catalog:
+                _create(spark, row, columns)
+                publish = functools.partial(_published, row.sink_table)
+            own = dims.cells(changes.where(F.col("sink_table") == row.sink_table), version)
+            tables.merged_batches(f"{base}/{row.sink_table}", ["key"],
+                                  lambda rows: dims.merged_cells(rows, [tables.PART, BATCH]), parts, stream, publish)(own, batch)
+    return write
+
+
+MOST_TABLES = 10_000
+
+
+def _create(spark: SparkSession, row: Row, columns: Sequence[str]) -> None:
+    """The catalog table of a configuration row, with all of its columns."""
+    spark.sql(dims.create_table_sql(row.sink_table, row.sink_columns, row.sink_pk, row.sink_extend, tables.PART))
+    known = spark.table(row.sink_table).columns
+    new = [c for c in columns if c not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {row.sink_table} ADD COLUMNS ({', '.join(f'`{c}` STRING' for c in new)})")
+
+
+def _published(sink_table: str, done: DataFrame) -> None:
+    """Put whole partitions into the catalog table, whose own columns say the order."""
+    names = done.sparkSession.table(sink_table).columns
+    rows = dims.wide(done, [c for c in names if c != tables.PART], [tables.PART])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(sink_table)
+
+
+def read_dimension_table(spark: SparkSession, base: str, sink_table: str, sink_columns: str,
+                         sink_pk: str | None = None) -> DataFrame:
+    """A dimension table of :func:`dimension_table_batches`."""
+    return dims.wide(tables.read_table(spark, f"{base}/{sink_table}"), dims.column_list(sink_columns, sink_pk))
+
+
 def change_stream(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(typed change log, dead letters) of a stream of JSON lines."""
     good, dirty = parse.split_valid(lines)
