@@ -12,8 +12,9 @@ counted in steps of 1e-4, so that neither sums nor the threshold depend on the o
 
 Defined results: a null text has no words; a text without words has score null and fails the
 base rules; with no trusted document every document that passes the base rules is kept; equal
-rows are judged alike; the trusted rows of a repeated id count once.  Windows of three words
-are compared by 64-bit hashes.
+rows are judged alike; a trusted id that is listed twice counts once, and all rows of it are
+trusted; a very long text is one row, whose arrays must fit in a task; an empty table gives
+none.  Windows of three words are compared by 64-bit hashes.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ REJECT = 0.01
 SYMBOLS = "#*$%&|<>"
 UNIT = 1_000_000
 STEPS = 10_000
+ID_BITS = 1 << 24
 
 
 def without(text: Column, characters: str) -> Column:
@@ -79,15 +81,46 @@ def ngram_buckets(tokens: Column, buckets: int) -> Column:
     return let(tokens, pairs)
 
 
+def bitmap(ids: DataFrame, name: str) -> DataFrame:
+    """``part, bits``: a bit for the hash of each id, in as many rows and bytes for any input."""
+    bit = id_bit(F.col(name))
+    return ids.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+
+
+def id_bit(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(ID_BITS)) + 1
+
+
+def may_be_in(docs: DataFrame, name: str, ids: DataFrame) -> DataFrame:
+    """Columns of ``docs`` whose ``name`` has its bit set in :func:`bitmap`: all that are in
+    ``ids`` and few others, as long as these are few against the bits."""
+    bits = F.broadcast(bitmap(ids, ids.columns[0]))  # at most ID_BITS bits
+    bit = id_bit(docs[name])
+    place = F.bitmap_bit_position(bit)
+    found = docs.join(bits, F.bitmap_bucket_number(bit) == bits["part"])
+    byte = F.conv(F.hex(F.substring(bits["bits"], (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return found.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*[docs[c] for c in docs.columns])
+
+
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``bucket, ratio``: log of trusted over raw probability, each bucket counted once more
-    than found, as a whole number of 1e-6.  Buckets that are not listed were never found."""
+    than found, as a whole number of 1e-6.  Buckets that are not listed were never found.
+
+    All texts are counted where they are read.  Of the texts only those that may be trusted, by a
+    bitmap of fixed size, are shuffled to be joined with the ids, by one plan at any size.
+    """
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
-    flagged = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
-    grams = flagged.select(F.col("trusted_id").isNotNull().cast("long").alias("target"),
-                           F.explode(ngram_buckets(words(F.col("text")), buckets)).alias("bucket"))
-    counts = stored(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target")),
-                    "rule-counts")
+    texts = docs.select(docs["doc_id"].alias("of_id"), docs["text"].alias("words_of"))
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        grams = rows.select(F.explode(ngram_buckets(words(F.col("words_of")), buckets)).alias("bucket"))
+        return grams.groupBy("bucket").agg(F.count("*").alias(name))
+    likely = may_be_in(texts, "of_id", ids).join(ids.hint("merge"), F.col("of_id") == F.col("trusted_id"), "left_semi")
+    target_counts = counted(likely, "target").withColumnRenamed("bucket", "target_bucket")
+    every = counted(texts, "raw")
+    counts = stored(every.join(target_counts, every["bucket"] == target_counts["target_bucket"], "left")
+                    .select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target")), "rule-counts")
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
         return counts.select("bucket", F.lit(0).cast("long").alias("ratio"))
