@@ -11,7 +11,7 @@ The model is that many weights per category, and every whole document is scored.
 Defined results: null and empty texts hold no words and are scored by what remains; an id
 labelled more than once has the larger label; a null label does not train its category;
 without any labels every probability is one half and nothing is flagged; equal rows are judged
-alike; an empty table gives none.  Other columns are not read.
+alike and train once; an empty table gives none.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemart.llm.common import text_mark
 from tidemart.session import stored
 
 SAMPLE_DOCS = 20_000
@@ -45,15 +46,24 @@ def held(text: str | None, index: dict[str, int]) -> list[int]:
 
 def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample_docs: int = SAMPLE_DOCS,
            folds: int = FOLDS) -> DataFrame:
-    """Stored ``text, fold`` and a 0/1 column per category of at most ``sample_docs`` documents."""
+    """Stored ``text, fold`` and a 0/1 column per category of at most ``sample_docs`` documents.
+
+    Ids and hashes of texts are picked first; only the texts of those, whose number is bounded,
+    are fetched, so no text is shuffled.
+    """
     named = [c.cast("int").alias(f"y_{k}") for k, c in categories.items()]
     marks = (labels.where("doc_id IS NOT NULL").select(labels["doc_id"].alias("label_id"), *named)
              .groupBy("label_id").agg(*[F.max(f"y_{k}").alias(f"y_{k}") for k in categories]))
     order = F.xxhash64(F.lit("toxicity"), "label_id")
-    rows = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("label_id"))
-    rows = rows.orderBy(order, "label_id", F.xxhash64("text")).limit(sample_docs)
-    return stored(rows.select("text", F.pmod(order, F.lit(folds)).cast("int").alias("fold"),
-                              *[f"y_{k}" for k in categories]), "toxicity-sample")
+    ids = docs.select(docs["doc_id"].alias("doc_id"), text_mark(docs["text"]).alias("mark")).distinct()
+    picked = (ids.join(marks, F.col("doc_id") == F.col("label_id")).orderBy(order, "label_id", "mark").limit(sample_docs)
+              .select(F.col("label_id").alias("picked_id"), F.col("mark").alias("picked_mark"),
+                      F.pmod(order, F.lit(folds)).cast("int").alias("fold"), *[f"y_{k}" for k in categories]))
+    picked = F.broadcast(stored(picked, "toxicity-picked"))  # at most sample_docs rows
+    texts = docs.select(docs["doc_id"].alias("doc_id"), text_mark(docs["text"]).alias("mark"), docs["text"].alias("text"))
+    rows = texts.join(picked, (F.col("doc_id") == F.col("picked_id")) & (F.col("mark") == F.col("picked_mark")))
+    return stored(rows.dropDuplicates(["picked_id", "picked_mark"]).select("text", "fold", *[f"y_{k}" for k in categories]),
+                  "toxicity-sample")
 
 
 def choose_words(rows: DataFrame, categories: list[str], features: int = FEATURES) -> dict[str, int]:
