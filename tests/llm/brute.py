@@ -1,5 +1,6 @@
 """Plain versions of the operators, row by row, to compare with."""
 
+import math
 import re
 from collections import Counter
 
@@ -58,3 +59,30 @@ def targets(sizes, weights, cap=3):
         else:
             high = level
     return [min(cap * s, high * w) for s, w in zip(sizes, weights)]
+
+
+def ngram_buckets(tokens, buckets):
+    """Hash buckets of words and of pairs of neighbours."""
+    def signed(h):
+        return h - (1 << 64) if h >> 63 else h
+    raw = [w.encode() for w in tokens]
+    two = xxhash.xxh64_intdigest((2).to_bytes(4, "little"), 42)
+    pairs = [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, two)) for a, b in zip(raw, raw[1:])]
+    return [signed(h) % buckets for h in [*(xxhash.xxh64_intdigest(w, 42) for w in raw), *pairs]]
+
+
+def kept_by_ratio(docs, trusted, buckets, reject):
+    """For each ``(id, text)``: passes the base rules, and the mean log ratio of its n-grams is no
+    less than that under which a share ``reject`` of the trusted ones lies."""
+    grams = [ngram_buckets(words(t), buckets) for _, t in docs]
+    raw = Counter(b for g in grams for b in g)
+    target = Counter(b for (i, _), g in zip(docs, grams) if i in trusted for b in g)
+    if not target:
+        return [not base_counts(t)["base_failed"] for _, t in docs]
+    all_raw, all_target = raw.total() + buckets, target.total() + buckets
+    ratio = {b: round((math.log((target[b] + 1) / all_target) - math.log((n + 1) / all_raw)) * 1e6) for b, n in raw.items()}
+    good = [not base_counts(t)["base_failed"] for _, t in docs]
+    steps = [math.floor(sum(ratio[b] for b in g) / (len(g) * 1e6) * 10_000) if g else None for g in grams]
+    seen = sorted(s for (i, _), s, ok in zip(docs, steps, good) if ok and i in trusted)
+    least = next((s for n, s in enumerate(seen, 1) if seen[n:n + 1] != [s] and n > reject * len(seen)), None)
+    return [ok and (least is None or s >= least) for ok, s in zip(good, steps)]

@@ -83,5 +83,5 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The documents whose ``doc_id, mark`` has a verdict ``kept``, columns unchanged; rows of
     one id and text stay or go together."""
     kept = verdicts.where("kept").select(row_name(F.col("doc_id"), F.col("mark")).alias("kept_name")).distinct()
-    named = docs.withColumn("row_name", row_name(docs["doc_id"].cast("long"), text_mark(docs["text"])))
-    return named.join(kept, named["row_name"] == kept["kept_name"], "left_semi").drop("row_name")
+    named = docs.select(F.struct("*").alias("doc"), row_name(docs["doc_id"].cast("long"), text_mark(docs["text"])).alias("name"))
+    return named.join(kept, named["name"] == kept["kept_name"], "left_semi").select("doc.*")

@@ -194,6 +194,5 @@ def one_of_each(docs: DataFrame, tile: int = TILE) -> DataFrame:
     kept = (classed(docs, tile).groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
             .select("first.*").select(name.alias("simhash_kept")))
-    named = docs.withColumn("simhash_name", row_name(docs["doc_id"].cast("long"), text_mark(docs["text"])))
-    return (named.join(kept, named["simhash_name"] == kept["simhash_kept"], "left_semi")
-            .dropDuplicates(["simhash_name"]).drop("simhash_name"))
+    named = docs.select(F.struct("*").alias("doc"), row_name(docs["doc_id"].cast("long"), text_mark(docs["text"])).alias("name"))
+    return named.join(kept, named["name"] == kept["simhash_kept"], "left_semi").dropDuplicates(["name"]).select("doc.*")
