@@ -69,7 +69,7 @@ def _settings(spark: SparkSession, clock: bool = False) -> Iterator[None]:
     With ``clock`` no micro-batch runs without new rows: those driven by the clock would go on
     for ever once all that has arrived is done.
     """
-    names = {"spark.sql.shuffle.partitions": str(2 * spark.sparkContext.defaultParallelism)}
+    names = {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
     if clock:
         names["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
     before = {name: spark.conf.get(name, None) for name in names}
