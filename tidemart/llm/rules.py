@@ -92,35 +92,36 @@ def id_bit(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(ID_BITS)) + 1
 
 
-def may_be_in(docs: DataFrame, name: str, ids: DataFrame) -> DataFrame:
-    """Columns of ``docs`` whose ``name`` has its bit set in :func:`bitmap`: all that are in
-    ``ids`` and few others, as long as these are few against the bits."""
+def may_be_in(docs: DataFrame, name: str, ids: DataFrame, inside: bool = True) -> DataFrame:
+    """Rows of ``docs`` whose ``name`` has its bit set in :func:`bitmap`: all that are in ``ids`` and
+    few others, as long as these are few against the bits; or else all other rows."""
     bits = F.broadcast(bitmap(ids, ids.columns[0]))  # at most ID_BITS bits
     bit = id_bit(docs[name])
     place = F.bitmap_bit_position(bit)
-    found = docs.join(bits, F.bitmap_bucket_number(bit) == bits["part"])
+    found = docs.join(bits, F.bitmap_bucket_number(bit) == bits["part"], "left")
     byte = F.conv(F.hex(F.substring(bits["bits"], (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    return found.where(F.getbit(byte, (place % 8).cast("int")) == 1).select(*[docs[c] for c in docs.columns])
+    hit = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    return found.where(hit if inside else ~hit).select(*[docs[c] for c in docs.columns])
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``bucket, ratio``: log of trusted over raw probability, each bucket counted once more
     than found, as a whole number of 1e-6.  Buckets that are not listed were never found.
 
-    All texts are counted where they are read.  Of the texts only those that may be trusted, by a
-    bitmap of fixed size, are shuffled to be joined with the ids, by one plan at any size.
+    Only the texts that may be trusted, by a bitmap of fixed size, are shuffled to be joined with
+    the ids; all others are counted where they are read.  One plan at any size.
     """
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
     texts = docs.select(docs["doc_id"].alias("of_id"), docs["text"].alias("words_of"))
-
-    def counted(rows: DataFrame, name: str) -> DataFrame:
-        grams = rows.select(F.explode(ngram_buckets(words(F.col("words_of")), buckets)).alias("bucket"))
-        return grams.groupBy("bucket").agg(F.count("*").alias(name))
-    likely = may_be_in(texts, "of_id", ids).join(ids.hint("merge"), F.col("of_id") == F.col("trusted_id"), "left_semi")
-    target_counts = counted(likely, "target").withColumnRenamed("bucket", "target_bucket")
-    every = counted(texts, "raw")
-    counts = stored(every.join(target_counts, every["bucket"] == target_counts["target_bucket"], "left")
-                    .select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target")), "rule-counts")
+    rest = may_be_in(texts, "of_id", ids, False).select("words_of", F.lit(0).cast("long").alias("target"))
+    likely = may_be_in(texts, "of_id", ids).join(ids.hint("merge"), F.col("of_id") == F.col("trusted_id"), "left")
+    flagged = likely.select("words_of", F.col("trusted_id").isNotNull().cast("long").alias("target"))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        grams = rows.select("target", F.explode(ngram_buckets(words(F.col("words_of")), buckets)).alias("bucket"))
+        return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
+    counts = stored(counted(rest).unionByName(counted(flagged)).groupBy("bucket")
+                    .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")), "rule-counts")
     raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
     if not target:
         return counts.select("bucket", F.lit(0).cast("long").alias("ratio"))
