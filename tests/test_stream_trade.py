@@ -153,6 +153,22 @@ def test_versions_in_two_micro_batches_count_once(spark, tmp_path, by_clock):
     assert (given[-1]["order_count"], float(given[-1]["amount"])) == (2, 7.0)
 
 
+@pytest.mark.parametrize("expected, error", [(2_000, 1e-6), (200, 0.05)])
+def test_a_seen_key_never_passes_and_few_new_ones_are_left_out(spark, tmp_path, expected, error):
+    rng = random.Random(9)
+    rows = [(i, f"k{rng.randrange(expected)}", at(i)) for i in range(2 * expected)]
+    feed = Feed(spark, tmp_path, "id int, k string, ts timestamp").add(*[rows[i::3] for i in range(3)])
+    found = run(state.unseen(feed.stream(), ["k"], "ts", ["id"], expected, error), tmp_path)
+    keys, given = {r[1] for r in rows}, [r["k"] for r in found]
+    assert len(given) == len(set(given)) and set(given) <= keys
+    assert len(keys) - len(given) <= max(0 if error < 0.01 else 1, 2 * error * len(keys))
+
+
+def test_size_of_the_filter():
+    assert state.filter_size(1_000_000, 0.01) == (293, 7)
+    assert state.filter_size(1, 0.5) == (1, 1)
+
+
 # The traffic window.
 
 def test_late_bounces_reach_the_window(spark, tmp_path):
@@ -273,3 +289,10 @@ def test_spu_rows_add_up_skus(spark):
     row = trade.spu_rows(totals.withColumn("amount", F.col("amount").cast("decimal(16,2)")), catalog).collect()
     assert [(r.order_count, r.order_amount) for r in row] == [(3, 5.0)]
     assert dt.datetime(2024, 3, 1, 12) == T0
+
+
+def test_results_carry_the_time_of_their_computation(spark, tmp_path):
+    path, before = str(tmp_path / "t"), time.time() * 1000
+    sinks.upsert_batches(path, ["k"], stamp=True)(spark.createDataFrame([("a", 1)], "k string, v int"), 0)
+    row = sinks.read_upserted(spark, path, ["k"], ["ts"]).first()
+    assert row.v == 1 and before - 1_000 <= row.ts <= time.time() * 1000 + 1_000

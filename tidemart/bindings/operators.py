@@ -235,6 +235,26 @@ def slide_distinct(t):
     return distinct_exact(t.events, "ts", ["event_type"], "user_id", "6 hours", "2 hours")
 
 
+SLIDES = f"""
+WITH x AS (
+  SELECT event_type, user_id,
+         unnest(generate_series(0, 2)) * {2 * HOUR * 1_000_000} AS back, (epoch_us(ts) // {2 * HOUR * 1_000_000}) * {2 * HOUR * 1_000_000} AS pane
+  FROM events)
+SELECT {text('make_timestamp(pane - back)')} AS stt, {text(f'make_timestamp(pane - back + {6 * HOUR * 1_000_000})')} AS edt,
+       event_type, count(DISTINCT user_id) AS ct, true AS close FROM x GROUP BY ALL"""
+
+
+@query("slide_distinct_close", SLIDES)
+def slide_distinct_close(t):
+    """The exact count, and whether the estimate from sketches is within 5 % or one of it."""
+    keys = ["stt", "edt", "event_type"]
+    args = (t.events, "ts", ["event_type"], "user_id", "6 hours", "2 hours")
+    about = distinct_sketch(*args).withColumnRenamed("ct", "about")
+    off = F.abs(F.col("ct") - F.col("about"))
+    return distinct_exact(*args).join(about, keys, "full").select(
+        *keys, "ct", F.coalesce(off <= F.greatest(F.lit(1.0), 0.05 * F.col("ct")), F.lit(False)).alias("close"))
+
+
 @query("slide_distinct_sketch")
 def slide_distinct_sketch(t):
     """The same count, estimated from mergeable sketches."""

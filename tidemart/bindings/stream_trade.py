@@ -95,7 +95,7 @@ def stream_province_window(t):
     sliced = _by_time(t, _latest(t), "detail_create_time")
     write = jobs.province_batches(lambda spark: frames.provinces(frames.Tables(spark, t.folder)), f"{base}/table")
     _run(t, jobs.province_window(sliced.stream, "7 days"), write, base, sliced.grow(), "update", clock=True)
-    return read_upserted(t.spark, f"{base}/table", ["stt", "province_id"])
+    return read_upserted(t.spark, f"{base}/table", ["stt", "province_id"], ["ts"]).drop("ts")
 
 
 @query("stream_spu_window", "WITH " + LATEST + "," + CATALOG + f"""
@@ -139,7 +139,7 @@ def stream_refund_window(t):
     write = jobs.refund_batches(lambda spark: frames.catalog(frames.Tables(spark, t.folder)), f"{base}/table")
     _run(t, jobs.refund_window(sliced.stream, "30 days", ties=["create_time", "refund_amount"]), write, base,
          sliced.grow(), "update", clock=True)
-    return read_upserted(t.spark, f"{base}/table", ["stt", "user_id", "sku_id"]).drop("sku_id")
+    return read_upserted(t.spark, f"{base}/table", ["stt", "user_id", "sku_id"], ["ts"]).drop("sku_id", "ts")
 
 
 def _thirds(t, rows: DataFrame, name: str, totals, keys: list[str], column: str = "detail_create_time") -> DataFrame:

@@ -6,11 +6,13 @@ Results go to a table in the shared folder and are read back from there.
 from __future__ import annotations
 
 import contextlib
+import types
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.bindings import frames
+from tidemart.bindings.operators import SIDES, _clicks, _views
 from tidemart.bindings.registry import DAILY_ENTRIES, DETAILS, ENTRIES, PAGES, bounces, query, span, text
 from tidemart.bindings.traffic import DAY, HALF_DAY, LOG_ROUTE_SQL, PAGE_VIEWS, TIES, keyword_sql, route_fields
 from tidemart.operators import joins
@@ -195,6 +197,31 @@ def stream_toggle_filter(t):
     return _appended(t, state.toggle(rows, ["user_id", "event_type"], "ts", TIES), "toggle", sliced.grow()).drop("ts")
 
 
+@query("stream_unseen", """
+SELECT event_id, user_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""")
+def stream_unseen(t):
+    """The first event of each user and type, by a Bloom filter in state that is large for them."""
+    sliced = SlicedEvents(t)
+    rows = sliced.events.select("event_id", "user_id", "event_type", "ts")
+    first = state.unseen(rows, ["user_id", "event_type"], "ts", TIES, 100_000, 1e-9)
+    return _appended(t, first, "unseen", sliced.grow()).drop("ts")
+
+
+@query("stream_two_input_join", f"""
+WITH {SIDES},
+last_view AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY view_ts DESC, view_id) = 1)
+SELECT user_id, click_id, view_id FROM c LEFT JOIN last_view USING (user_id)""")
+def stream_two_input_join(t):
+    """Clicks, which come in a later micro-batch, with the last view that state keeps of their user."""
+    kind = F.col("event_type")
+    sliced = Slices(t, t.events, kind == "view", kind == "click")
+    both = types.SimpleNamespace(events=sliced.stream)
+    views, clicks = (df.withColumnRenamed(c, "at") for df, c in ((_views(both), "view_ts"), (_clicks(both), "click_ts")))
+    joined = state.two_input(views, clicks, "user_id", "at", "60 days", 60 * 86_400_000)
+    return _appended(t, joined, "two-input", sliced.grow()).select("user_id", "click_id", "view_id")
+
+
 @query("stream_interval_join", """
 SELECT v.user_id, v.event_id AS view_id, c.event_id AS click_id FROM events v JOIN events c
 ON v.user_id = c.user_id AND c.ts BETWEEN v.ts - INTERVAL 6 HOUR AND v.ts + INTERVAL 6 HOUR

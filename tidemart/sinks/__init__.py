@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemart.operators.keyed import latest_by_key
+from tidemart.operators.windows import stamped
 
 BATCH = "batch_id"
 BatchWriter = Callable[[DataFrame, int], None]
@@ -48,16 +49,19 @@ def append_batches(path: str, drop: Sequence[str] = ()) -> BatchWriter:
     return write
 
 
-def upsert_batches(path: str, keys: Sequence[str], version: Sequence[str] = ()) -> BatchWriter:
+def upsert_batches(path: str, keys: Sequence[str], version: Sequence[str] = (), stamp: bool = False) -> BatchWriter:
     """Keep the latest row per key; read the table back with :func:`read_upserted`.
 
+    With ``stamp`` rows get ``ts``, the time of their computation in milliseconds, as versioned
+    tables elsewhere need it.
+
     Each micro-batch is first cut to its last row per key and then added as a
     partition, so its cost follows the size of the batch and not of the table.
     Without ``version`` a micro-batch must hold each key at most once.
     """
     def write(df: DataFrame, batch: int) -> None:
         rows = latest_by_key(df, keys, version) if version else df
-        _write_batch(rows, batch, path)
+        _write_batch(stamped(rows) if stamp else rows, batch, path)
     return write
 
 

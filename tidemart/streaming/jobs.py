@@ -193,8 +193,8 @@ def province_window(latest: DataFrame, size: str = "10 seconds", delay: str = "2
 
 
 def province_batches(provinces: Reader, path: str) -> BatchWriter:
-    """Upserted table by ``stt, province_id``, with the names of the time."""
-    return enriched(upsert_batches(path, ["stt", "province_id"]), trade.province_names, provinces)
+    """Upserted table by ``stt, province_id``, with the names of the time and the version ``ts``."""
+    return enriched(upsert_batches(path, ["stt", "province_id"], stamp=True), trade.province_names, provinces)
 
 
 def sku_window(details: DataFrame, size: str = "10 seconds", delay: str = "2 seconds",
@@ -220,8 +220,8 @@ def refund_window(refunds: DataFrame, size: str = "10 seconds", delay: str = "2
 
 
 def refund_batches(catalog: Reader, path: str) -> BatchWriter:
-    """Upserted table by ``stt, user_id, sku_id``, with the catalog of the time."""
-    return enriched(upsert_batches(path, ["stt", "user_id", "sku_id"]), trade.refund_names, catalog)
+    """Upserted table by ``stt, user_id, sku_id``, with the catalog of the time and the version ``ts``."""
+    return enriched(upsert_batches(path, ["stt", "user_id", "sku_id"], stamp=True), trade.refund_names, catalog)
 
 
 WIDE_SOURCES = (fixed.ORDER_DETAIL, fixed.ORDER_INFO, fixed.ORDER_DETAIL_ACTIVITY,

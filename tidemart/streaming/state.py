@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import math
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -81,10 +82,14 @@ class DayMarks(_Ordered):
             rows = (r for r in rows if _millis(r[self.order[0]]) >= now)
         last = self.last.get()[0] if self.last.exists() else None
         before, at = last, None
-        for row in self.sorted(rows):
-            day = row[self.day]
-            if day == last:
-                continue
+        # Only the first row of each day is held, so a busy key costs as much as it has days.
+        first, places = {}, {}
+        for row in rows:
+            day, place = row[self.day], _place(row[c] for c in self.order)
+            if day != before and (day not in first or place < places[day]):
+                first[day], places[day] = row, place
+        for day in sorted(first, key=places.get):
+            row = first[day]
             back = last is not None and (_date(day) - _date(last)).days > self.gap
             yield Row(**row.asDict(), is_first_day=int(last is None), is_back=int(back))
             last, at = day, _millis(row[self.order[0]])
@@ -135,13 +140,15 @@ class NewFlag(_Ordered):
 
     def handleInputRows(self, key, rows, timerValues):
         anchor = self.anchor.get()[0] if self.anchor.exists() else None
-        for row in self.sorted(rows):
-            is_new = row[self.flag] == "1"
-            if anchor is None:
-                # A first row without the flag means the visitor came before that day.
-                anchor = row[self.day] - datetime.timedelta(days=0 if is_new else 1)
-                self.anchor.update((anchor,))
-            if is_new and row[self.day] != anchor:
+        if anchor is None:
+            # Only the first micro-batch of a key has to be seen whole before its rows come out.
+            rows = list(rows)
+            first = min(rows, key=lambda r: _place(r[c] for c in self.order))
+            # A first row without the flag means the visitor came before that day.
+            anchor = first[self.day] - datetime.timedelta(days=0 if first[self.flag] == "1" else 1)
+            self.anchor.update((anchor,))
+        for row in rows:
+            if row[self.flag] == "1" and row[self.day] != anchor:
                 row = Row(**{**row.asDict(), self.flag: "0"})
             yield row
 
@@ -520,3 +527,52 @@ def pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     joined = both.groupBy("_key", "_salt").transformWithState(
         PairJoin(lefts, rights, ttl_ms, how == "left"), out, "append", "ProcessingTime")
     return joined.drop("_key", "_salt")
+
+
+BITS = 32_768
+
+
+class SeenBits(_Ordered):
+    """A part of a Bloom filter: passes rows whose key was not seen before, as far as its bits tell."""
+
+    def __init__(self, ts: str, ties: Sequence[str], hashes: int):
+        super().__init__(ts, ties)
+        self.hashes = hashes
+
+    def init(self, handle) -> None:
+        self.bits = handle.getValueState("bits", "bits binary")
+
+    def handleInputRows(self, key, rows, timerValues):
+        bits = bytearray(self.bits.get()[0]) if self.bits.exists() else bytearray(BITS // 8)
+        changed = False
+        for row in self.sorted(rows):
+            places = [(row["_h1"] + i * row["_h2"]) % BITS for i in range(self.hashes)]
+            if all(bits[p >> 3] >> (p & 7) & 1 for p in places):
+                continue
+            changed = True
+            for p in places:
+                bits[p >> 3] |= 1 << (p & 7)
+            yield row
+        if changed:
+            self.bits.update((bytes(bits),))
+
+
+def filter_size(expected: int, error: float) -> tuple[int, int]:
+    """Parts of :data:`BITS` bits, and hashes, of a Bloom filter for so many keys."""
+    bits = -expected * math.log(error) / math.log(2) ** 2
+    return max(1, math.ceil(bits / BITS)), max(1, round(bits / expected * math.log(2)))
+
+
+def unseen(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str] = (), expected: int = 1_000_000,
+           error: float = 0.01) -> DataFrame:
+    """Rows whose key has not come before, by a Bloom filter in state.
+
+    State has a fixed size, whatever the number of keys: up to ``expected`` of them, about a share
+    ``error`` of the new keys is taken for seen and left out, beyond that more; a key that was seen
+    never passes.  The filter is dealt into parts, each with all the bits of its keys.
+    """
+    parts, hashes = filter_size(expected, error)
+    hashed = df.withColumns({"_part": F.pmod(F.xxhash64(*keys), F.lit(parts)),
+                             "_h1": F.xxhash64(F.lit(1), *keys), "_h2": F.xxhash64(F.lit(2), *keys)})
+    return hashed.groupBy("_part").transformWithState(
+        SeenBits(ts, ties, hashes), hashed.schema, "append", "None").drop("_part", "_h1", "_h2")
