@@ -62,12 +62,13 @@ def targets(sizes, weights, cap=3):
 
 
 def ngram_buckets(tokens, buckets):
-    """Hash buckets of words and of pairs of neighbours."""
+    """Hash buckets of words and of pairs of neighbours; the last word's neighbour is the end."""
     def signed(h):
         return h - (1 << 64) if h >> 63 else h
     raw = [w.encode() for w in tokens]
     two = xxhash.xxh64_intdigest((2).to_bytes(4, "little"), 42)
-    pairs = [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, two)) for a, b in zip(raw, raw[1:])]
+    firsts = [xxhash.xxh64_intdigest(w, two) for w in raw]
+    pairs = [xxhash.xxh64_intdigest(b, a) for a, b in zip(firsts, raw[1:])] + firsts[-1:]
     return [signed(h) % buckets for h in [*(xxhash.xxh64_intdigest(w, 42) for w in raw), *pairs]]
 
 
