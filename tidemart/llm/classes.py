@@ -12,10 +12,13 @@ class.  Transitions are counted over all training texts and drawn towards the fr
 class by ``KAPPA`` pseudo-counts; words have ``ADD`` pseudo-counts, as has one unknown word in
 each spelled class, so that probabilities add up to one.
 
-All counts cover every training document.  Words, their classes and their context counts are
-tables joined by word: texts go in blocks of about ``BLOCK`` bytes, and the distinct words of a
-block are joined with the table and come back to it.  Only the square of classes goes to tasks
-and to the driver.
+All counts cover every training document.  Words, their numbers and classes are tables joined by
+word.  Texts go in blocks of about ``BLOCK`` bytes; the distinct words of a block are joined with
+the table of counts and come back to it, once, and the texts are kept as numbers from then on.
+Pairs of numbers are added up in parts of about ``PART`` tokens, by their first word and by their
+second; a word that is too frequent for a part has several, by its partner.  Each round sends the
+parts the classes of the numbers in them, in slices, and gets back the counts of classes around
+each word.  Only the square of classes goes to tasks and to the driver.
 
 Defined results: null and empty texts hold one token, the end; a null id counts as the text
 "null"; equal rows are scored one by one; without training tokens every token has the same
@@ -30,7 +33,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemart.llm.common import byte_texts, numbered
 from tidemart.session import stored
@@ -42,7 +45,10 @@ ROUNDS = 4
 ADD = 0.1
 KAPPA = 50.0
 FLUSH = 500_000
-BLOCK = 16 << 20
+BLOCK = 8 << 20
+PART = 1 << 19
+SLICE = 256
+MIX = np.uint64(0x9E3779B97F4A7C15)
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END = b""
 FIRST = SPELLED + 1
@@ -107,9 +113,31 @@ def in_blocks(rows: DataFrame) -> DataFrame:
         deal, "block long, rid long, doc_id long, held_out boolean, text string")
 
 
-def with_words(blocks: DataFrame, words: DataFrame, body: Callable[[pa.Table, dict], pa.Table], schema: str) -> DataFrame:
-    """``body`` of the rows of each block and of what ``words`` (``word`` and two more columns)
-    has of the words in them."""
+def vocabulary(rows: DataFrame, frequent: int = FREQUENT) -> dict:
+    """The ``counts`` of all words of ``text``, and ``words``: ``word, number, n`` of the frequent
+    ones, numbered without gaps by falling count from ``FIRST`` on."""
+    counts = stored(word_counts(rows), "classes-counts")
+    n, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = counts.where(F.length("word") == 0).select("n").first()
+    counts = counts.where(F.length("word") > 0)
+    often = F.col("n") >= frequent
+    ranked = stored(counts.where(often).orderBy(F.col("n").desc(), "word").select(
+        "word", "n", F.monotonically_increasing_id().alias("place")), "classes-ranked")
+    of = F.shiftright("place", 33)  # the partition, whose rows are numbered from the sizes of those before
+    sizes = ranked.groupBy(of.alias("part")).agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.orderBy("part")) - F.col("size")
+    words = ranked.withColumn("part", of).join(sizes.select("part", before.alias("before")), "part").select(
+        "word", (F.col("before") + F.col("place").bitwiseAND((1 << 33) - 1) + FIRST).alias("number"), "n")
+    return {"words": stored(words, "classes-words"), "rare": counts.where(~often), "tokens": n, "types": types,
+            "ends": ends.n if ends else 0}
+
+
+def encoded(blocks: DataFrame, known: dict) -> DataFrame:
+    """``block, doc_id, held_out, n_tokens, n_known, log_sum, ids`` of each text.
+
+    ``ids`` are 32-bit numbers of its words: a spelled class or the number of a frequent word;
+    ``log_sum`` adds up the logarithms of the counts of its tokens.
+    """
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, found = None, set()
 
@@ -126,41 +154,167 @@ def with_words(blocks: DataFrame, words: DataFrame, body: Callable[[pa.Table, di
                 found.update(text.lower().split())
         if found:
             yield flush()
-    asked = blocks.select("block", "text").mapInArrow(ask, "block long, word binary")
-    told = asked.join(words.withColumnRenamed("word", "known_word"), F.col("word") == F.col("known_word")).drop("known_word")
+    ends = known["ends"]
 
     def meet(texts: pa.Table, told: pa.Table) -> pa.Table:
-        return body(texts, dict(zip(told["word"].to_pylist(), zip(told.column(2).to_pylist(), told.column(3).to_pylist()))))
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(meet, schema)
+        words = told["word"].to_pylist()
+        place = {w: i for i, w in enumerate(words)}
+        symbols = told["number"].to_numpy().astype(np.int32)
+        for i in np.flatnonzero(symbols < 0):
+            symbols[i] = spelled(words[i])
+        logs, out = np.log10(told["n"].to_numpy() + ADD), []
+        log_end, log_new = float(np.log10(ends + ADD)), float(np.log10(ADD))
+        for text in byte_texts(texts["text"]):
+            of_text = text.lower().split()
+            at = np.fromiter((place.get(w, -1) for w in of_text), dtype=np.int64, count=len(of_text))
+            new = np.flatnonzero(at < 0)
+            ids = symbols[at] if len(symbols) else np.empty(len(at), dtype=np.int32)
+            ids[new] = [spelled(of_text[i]) for i in new]
+            met = at[at >= 0]
+            out.append((len(at) + 1, len(met) + (ends > 0), float(logs[met].sum()) + len(new) * log_new + log_end, ids.tobytes()))
+        n_tokens, n_known, log_sum, ids = zip(*out)
+        return pa.table({"block": texts["block"], "doc_id": texts["doc_id"], "held_out": texts["held_out"],
+                         "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
+                         "log_sum": pa.array(log_sum, pa.float64()), "ids": pa.array(ids, pa.binary())})
+    asked = blocks.select("block", "text").mapInArrow(ask, "block long, word binary")
+    counted = known["words"].unionByName(known["rare"].select("word", F.lit(-1).cast("long").alias("number"), "n"))
+    told = asked.join(counted.withColumnRenamed("word", "known_word"), F.col("word") == F.col("known_word")).drop("known_word")
+    return stored(blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        meet, "block long, doc_id long, held_out boolean, n_tokens long, n_known long, log_sum double, ids binary"),
+        "classes-encoded")
 
 
-def pair_counts(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """``x, y, n``: how often one symbol comes after another.
+PAIRS = "side int, part long, word binary, other binary, n binary"
 
-    A symbol is a spelled class, ``SPELLED`` for the end, or the ``number`` of a frequent word.
+
+def added(word: np.ndarray, other: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, in order, with its sum."""
+    if not len(word):
+        return word, other, n
+    keys = word.astype(np.int64) << 32 | other.astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return (keys[first] >> 32).astype(np.int32), (keys[first] & 0xFFFFFFFF).astype(np.int32), np.add.reduceat(n[order], first)
+
+
+def dealt(side: int, tokens: int, parts: int, word: np.ndarray, other: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of ``PAIRS``, one for each part that the pairs go to.
+
+    The word of rank r occurs at most once in r tokens, which bounds the parts it needs.
     """
-    def count(texts: pa.Table, told: dict) -> pa.Table:
-        numbers = np.array([*range(FIRST), *[number for number, _ in told.values()]], dtype=np.int64)
-        place, parts = {w: FIRST + i for i, w in enumerate(told)}, [np.zeros(0, dtype=np.int64)]
-        for text in byte_texts(texts["text"]):
-            words = text.lower().split()
-            ids = [place[w] if w in place else spelled(w) for w in words]
-            ids = np.array([SPELLED, *ids, SPELLED], dtype=np.int64)
-            parts.append(ids[:-1] * len(numbers) + ids[1:])
-        keys, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.table({"x": numbers[keys // len(numbers)], "y": numbers[keys % len(numbers)], "n": n.astype(np.int64)})
-    return with_words(blocks, words, count, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n"))
+    rank = np.maximum(word.astype(np.int64) - FIRST + 1, 1)
+    salts = (1 + tokens // rank // PART).astype(np.uint64)
+    salt = (other.astype(np.uint64) * MIX >> np.uint64(33)) % salts
+    part = ((word.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + salt * MIX) >> np.uint64(24)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    part, columns = part[order], [x[order] for x in (word, other, n)]
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, dtype=np.int64)
+    if len(starts):
+        cuts = [*starts.tolist(), len(part)]
+        packed = [pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for x in columns]
+        yield pa.record_batch([pa.array(np.full(len(starts), side), pa.int32()), pa.array(part[starts].astype(np.int64)), *packed],
+                              names=["side", "part", "word", "other", "n"])
+
+
+def unpacked(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(rows.column(name).to_pylist()), dtype=kind)
+                 for name, kind in (("word", np.int32), ("other", np.int32), ("n", np.int64)))
+
+
+def put_together(rows: DataFrame, name: str) -> DataFrame:
+    """One row for each part, its pairs added up."""
+    def merge(part: pa.Table) -> pa.Table:
+        packed = [pa.array([x.tobytes()], pa.binary()) for x in added(*unpacked(part))]
+        return pa.table([part["side"].slice(0, 1), part["part"].slice(0, 1), *packed], names=part.column_names)
+    return stored(rows.groupBy("side", "part").applyInArrow(merge, PAIRS), name)
+
+
+def pair_parts(texts: DataFrame, tokens: int) -> DataFrame:
+    """Rows of ``PAIRS``: how often one number comes after another.
+
+    ``word`` is the first of the two on side 0 and the second on side 1; ``SPELLED`` is the end,
+    which also stands before a text.
+    """
+    parts = tokens // PART + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            ids = np.concatenate([*held, [SPELLED]]).astype(np.int32)
+            held.clear()
+            yield from dealt(0, tokens, parts, *added(ids[:-1], ids[1:], np.ones(len(ids) - 1, dtype=np.int64)))
+        for batch in batches:
+            for ids in batch.column(0).to_pylist():
+                held += [np.array([SPELLED], dtype=np.int32), np.frombuffer(ids, dtype=np.int32)]
+                size += len(ids) // 4 + 1
+                if size >= 4 * PART:
+                    yield from flush()
+                    size = 0
+        if held:
+            yield from flush()
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                word, other, n = unpacked(batch.slice(i, 1))
+                yield from dealt(1, tokens, parts, other, word, n)
+    behind = put_together(texts.select("ids").mapInArrow(count, PAIRS), "classes-behind")
+    ahead = put_together(behind.mapInArrow(turn, PAIRS), "classes-ahead")
+    return behind.unionByName(ahead)
+
+
+def class_slices(class_of: DataFrame) -> DataFrame:
+    """``slice, classes``: the classes of ``SLICE`` numbers in a row."""
+    fixed = class_of.sparkSession.range(FIRST).select(F.col("id").alias("number"), F.col("id").cast("int").alias("class"))
+    in_order = F.sort_array(F.collect_list(F.struct("number", "class")))
+    return (fixed.unionByName(class_of).groupBy(F.floor(F.col("number") / SLICE).cast("long").alias("slice"))
+            .agg(F.transform(in_order, lambda x: x["class"].cast("short")).alias("classes")))
+
+
+def lookup(told: pa.Table) -> Callable[[np.ndarray], np.ndarray]:
+    """Classes of numbers from the slices that a group was told."""
+    slices, lists = told["slice"].to_numpy(), told["classes"].combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks)
+    order = np.argsort(slices)
+    slices, starts = slices[order], lists.offsets.to_numpy()[:-1][order]
+    classes = lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def look(numbers: np.ndarray) -> np.ndarray:
+        numbers = numbers.astype(np.int64)
+        return classes[starts[np.searchsorted(slices, numbers // SLICE)] + numbers % SLICE]
+    return look
+
+
+def slices_of(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``keys, slice``: which slices the 32-bit numbers in ``columns`` are in."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict = {}
+            names = list(zip(*[batch.column(i).to_pylist() for i in range(len(keys))]))
+            for column in range(len(keys), batch.num_columns):
+                for name, ids in zip(names, batch.column(column).to_pylist()):
+                    found.setdefault(name, set()).update(np.unique(np.frombuffer(ids, dtype=np.int32) // SLICE).tolist())
+            pairs = [(*name, at) for name, slices in found.items() for at in slices]
+            if pairs:
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*pairs)], names=[*keys, "slice"])
+    wide = rows.select(*[F.col(k).cast("long") for k in keys], *columns)
+    schema = ", ".join(f"{name} long" for name in [*keys, "slice"])
+    return wide.mapInArrow(ask, schema).distinct()
 
 
 def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def best_class(square: np.ndarray, now: int, after: np.ndarray, before: np.ndarray, self_n: float, first: int) -> int:
+def best_class(square: np.ndarray, now: int, after: np.ndarray, before: np.ndarray, self_n: float, first: int,
+               logs: np.ndarray | None = None) -> int:
     """The class from ``first`` on where a word adds most to the likelihood of the class bigrams.
 
     ``after`` and ``before`` count the classes behind and ahead of the word, its own repetitions
-    (``self_n``) left out.
+    (``self_n``) left out; ``logs`` is ``_f`` of the square, where that is known.
     """
     rest = square.copy()
     rest[now] -= after
@@ -168,10 +322,12 @@ def best_class(square: np.ndarray, now: int, after: np.ndarray, before: np.ndarr
     rest[now, now] -= self_n
     np.maximum(rest[now], 0, out=rest[now])
     np.maximum(rest[:, now], 0, out=rest[:, now])
+    logs = (_f(square) if logs is None else logs).copy()
+    logs[now], logs[:, now] = _f(rest[now]), _f(rest[:, now])
     to, by = np.flatnonzero(after), np.flatnonzero(before)  # nothing changes elsewhere
     behind, ahead = rest[:, to], rest[by]
-    gain = ((_f(behind + after[to]) - _f(behind)).sum(axis=1)
-            + (_f(ahead + before[by, None]) - _f(ahead)).sum(axis=0))
+    gain = ((_f(behind + after[to]) - logs[:, to]).sum(axis=1)
+            + (_f(ahead + before[by, None]) - logs[by]).sum(axis=0))
     own = rest.diagonal()
     gain -= (_f(own + after) - _f(own)) + (_f(own + before) - _f(own))
     gain += _f(own + after + before + self_n) - _f(own)
@@ -183,58 +339,97 @@ def best_class(square: np.ndarray, now: int, after: np.ndarray, before: np.ndarr
     return best if gain[best] > gain[now] + 1e-6 else now
 
 
-def with_class(rows: DataFrame, symbol: str, class_of: DataFrame, name: str) -> DataFrame:
-    """Add the class of a symbol; that of the first ones is their number."""
-    looked_up = class_of.select(F.col("number").alias("class_number"), F.col("class").alias(name))
-    frequent = rows.where(F.col(symbol) >= FIRST)
-    return (frequent.join(looked_up, frequent[symbol] == F.col("class_number")).drop("class_number")
-            .unionByName(rows.where(F.col(symbol) < FIRST).withColumn(name, F.col(symbol).cast("int"))))
-
-
-def contexts(pairs: DataFrame, class_of: DataFrame, word: str, other: str, side: int) -> DataFrame:
-    """``word, side, other, n``: classes on one side of a word; side 2 is the word itself."""
-    sides = F.when(F.col("x") == F.col("y"), 2).otherwise(side)
-    return (with_class(pairs, other, class_of, "other").groupBy(F.col(word).alias("word"), sides.alias("side"), "other")
-            .agg(F.sum("n").alias("n")))
-
-
-def moves(around: DataFrame, square: np.ndarray, class_of: DataFrame) -> DataFrame:
-    """``word, best`` of the words whose contexts are given."""
-    lists = around.groupBy("word").agg(F.collect_list("side").alias("sides"), F.collect_list("other").alias("others"),
-                                       F.collect_list("n").alias("ns"))
+def half(word: np.ndarray, turn: int) -> np.ndarray:
+    """Half of the frequent words, the other half in the next turn."""
+    return (word >= FIRST) & ((word.astype(np.uint64) * MIX >> np.uint64(40)) % np.uint64(2) == turn % 2)
+
+
+def contexts(pairs: DataFrame, asked: DataFrame, class_of: DataFrame, size: int, turn: int | None) -> DataFrame:
+    """``word, sides, others, ns``: how often which classes are behind (side 0) and ahead (1) of the
+    words that move in a turn; side 2 is the word itself.  Rows without a word have the square of
+    classes: ``sides`` before ``others``."""
+    def count(rows: pa.Table, told: pa.Table) -> pa.Table:
+        (word, other, n), side, look = unpacked(rows), rows["side"][0].as_py(), lookup(told)
+        to, words, lengths, columns = look(other), [], [], [[], [], []]
+
+        def add(name: list, length: np.ndarray, sides: np.ndarray, others: np.ndarray, sums: np.ndarray) -> None:
+            words.extend(name)
+            lengths.append(length)
+            for column, x in zip(columns, (sides, others, sums)):
+                column.append(x.astype(np.int64))
+        if side == 0:
+            square = np.bincount(look(word) * size + to, weights=n, minlength=size * size)
+            at = np.flatnonzero(square)
+            add([None], np.array([len(at)]), at // size, at % size, square[at])
+        if turn is not None:
+            moving = half(word, turn) & ((word != other) | (side == 0))
+            kind = np.where(word == other, 2, side)[moving]
+            keys, back = np.unique((word[moving].astype(np.int64) * 3 + kind) * size + to[moving], return_inverse=True)
+            sums = np.bincount(back, weights=n[moving], minlength=len(keys))
+            of_word, length = np.unique(keys // size // 3, return_counts=True)
+            add(of_word.tolist(), length, keys // size % 3, keys % size, sums)
+        offsets = pa.array(np.append(0, np.cumsum(np.concatenate(lengths))) if lengths else [0], pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c) if c else [], pa.int64())) for c in columns]
+        return pa.table([pa.array(words, pa.int64()), *lists], names=["word", "sides", "others", "ns"])
+    told = asked.join(class_slices(class_of), "slice").select("side", "part", "slice", "classes")
+    keyed = pairs.withColumn("side", F.col("side").cast("long"))
+    return keyed.groupBy("side", "part").cogroup(told.groupBy("side", "part")).applyInArrow(
+        count, "word long, sides array<long>, others array<long>, ns array<long>")
+
+
+def summed(around: DataFrame, *key: str) -> DataFrame:
+    """``key, side, other, n``: contexts that several parts hold, added up."""
+    each = F.explode(F.arrays_zip("sides", "others", "ns")).alias("x")
+    return (around.select(*key, each).groupBy(*key, F.col("x.sides").alias("side"), F.col("x.others").alias("other"))
+            .agg(F.sum("x.ns").alias("n")))
+
+
+def moves(around: DataFrame, square: np.ndarray, class_of: DataFrame, spread: int) -> DataFrame:
+    """``word, best`` of the words whose contexts are given; those below ``spread`` may be in many
+    parts, the others in one for each side."""
+    joined = [F.flatten(F.collect_list(c)).alias(c) for c in ("sides", "others", "ns")]
+    wide = summed(around.where(F.col("word") < spread), "word").groupBy("word").agg(
+        F.collect_list("side").alias("sides"), F.collect_list("other").alias("others"), F.collect_list("n").alias("ns"))
+    lists = around.where(F.col("word") >= spread).groupBy("word").agg(*joined).unionByName(wide)
     sent = around.sparkSession.sparkContext.broadcast(square)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         square = sent.value
+        logs = _f(square)
         for batch in batches:
             best = []
             for now, sides, others, ns in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3, 4)]):
                 sums = np.zeros((3, len(square)))
                 np.add.at(sums, (sides, others), ns)
-                best.append(best_class(square, now, sums[0], sums[1], sums[2].sum(), FIRST))
+                best.append(best_class(square, now, sums[0], sums[1], sums[2].sum(), FIRST, logs))
             yield pa.record_batch([batch.column(0), pa.array(best, pa.int32())], names=["word", "best"])
     placed = lists.join(class_of, lists["word"] == class_of["number"])
     return placed.select("word", "class", "sides", "others", "ns").mapInArrow(of_batches, "word long, best int")
 
 
-def exchange(pairs: DataFrame, words: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
-    """``number, class`` of the frequent words and the counts of class bigrams, from ``x, y, n``.
+def exchange(pairs: DataFrame, words: DataFrame, tokens: int, classes: int = CLASSES,
+             rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray, list[float]]:
+    """``number, class`` of the frequent words, the counts of class bigrams, and the likelihood
+    (natural logarithm a token) of the class bigrams before each round and after the last.
 
     Frequent words start in turn; the first ``FIRST`` classes are fixed.  What reaches the driver
     is the square of classes.
     """
     size = FIRST + classes
-    class_of = words.select("number", (F.col("number") % classes + FIRST).cast("int").alias("class"))
+    asked = stored(slices_of(pairs, ["side", "part"], ["word", "other"]), "classes-asked")
+    class_of = stored(words.select("number", (F.col("number") % classes + FIRST).cast("int").alias("class")), "classes-of")
+    likelihoods = []
     for turn in range(rounds + 1):
-        behind = stored(contexts(pairs, class_of, "x", "y", 0), "classes-behind")
+        last = turn == rounds
+        around = stored(contexts(pairs, asked, class_of, size, None if last else turn), "classes-around")
         square = np.zeros((size, size))
-        for r in with_class(behind, "word", class_of, "a").groupBy("a", "other").agg(F.sum("n").alias("n")).collect():
-            square[r.a, r.other] = r.n
-        if turn == rounds:
-            return class_of, square
-        half = lambda c: (F.col(c) >= FIRST) & (F.pmod(F.xxhash64(c), F.lit(2)) == turn % 2)
-        ahead = contexts(pairs.where((F.col("x") != F.col("y")) & half("y")), class_of, "y", "x", 1)
-        moved = moves(behind.where(half("word")).unionByName(ahead), square, class_of)
+        for r in summed(around.where("word IS NULL")).collect():
+            square[r.side, r.other] = r.n
+        gain = _f(square).sum() - _f(square.sum(axis=0)).sum() - _f(square.sum(axis=1)).sum() + _f(square.sum())
+        likelihoods.append(float(gain / max(square.sum(), 1)))
+        if last:
+            return class_of, square, likelihoods
+        moved = moves(around.where("word IS NOT NULL"), square, class_of, tokens // PART + FIRST)
         class_of = stored(class_of.join(moved, class_of["number"] == moved["word"], "left")
                           .select("number", F.coalesce("best", "class").alias("class")), "classes-of")
 
@@ -251,55 +446,49 @@ class Model(dict):
                 "log_counts": np.log10(np.array([*[1 - ADD] * SPELLED, self["ends"], *[r.n for r in rows]]) + ADD)}
 
 
-def train(rows: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
-    """The model of training ``text``: ``known``, a table of all words with count and class, the
-    ``counts`` of those that are not frequent, and what is bounded."""
-    counts = stored(word_counts(rows), "classes-counts")
-    n, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    often = F.col("n") >= frequent
-    ends = counts.where(F.length("word") == 0).select("n").first()
-    counts = counts.where(F.length("word") > 0)
-    words = stored(counts.where(often).orderBy(F.col("n").desc(), "word")
-                   .select("word", (F.monotonically_increasing_id() + FIRST).alias("number"), "n"), "classes-words")
-    rest = {r.spelled: r["count"] for r in counts.where(~often).groupBy("spelled").count().collect()}
-    training = in_blocks(numbered(rows, F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), rows["text"]))
-    class_of, square = exchange(stored(pair_counts(training, words), "classes-pairs"), words, classes, rounds)
+def fit(known: dict, texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
+    """The model of encoded training texts: ``known``, a table of all words with count and class,
+    the ``counts`` of those that are not frequent, and what is bounded."""
+    n, types, words, rare = known["tokens"], known["types"], known["words"], known["rare"]
+    rest = {r.spelled: r["count"] for r in rare.groupBy("spelled").count().collect()}
+    class_of, square, likelihoods = exchange(pair_parts(texts, n), words, n, classes, rounds)
     classed = words.join(class_of, "number").select("word", "class", "n")
-    known = np.zeros(len(square))
+    size = np.zeros(len(square))
     for r in class_of.groupBy("class").count().collect():
-        known[r["class"]] = r["count"]
-    known[:SPELLED] = [rest.get(k, 0) + 1 for k in range(SPELLED)]  # one of them is unknown
-    known[SPELLED] = 1
-    tokens = square.sum(axis=0)
-    whole = n + ADD * known.sum()
-    p = (tokens + ADD * known) / whole
+        size[r["class"]] = r["count"]
+    size[:SPELLED] = [rest.get(k, 0) + 1 for k in range(SPELLED)]  # one of them is unknown
+    size[SPELLED] = 1
+    counted = square.sum(axis=0)
+    whole = n + ADD * size.sum()
+    p = (counted + ADD * size) / whole
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = np.log10((square + KAPPA * p) / (square.sum(axis=1, keepdims=True) + KAPPA) / p)
-    rare = counts.where(~often)
-    return Model(known=stored(classed.unionByName(rare.select("word", F.col("spelled").alias("class"), "n")), "classes-known"),
-                 counts=rare.select("word", "n"), tokens=n, types=types, whole=whole, ratio=ratio, ends=ends.n if ends else 0)
-
+    return Model(known=classed.unionByName(rare.select("word", F.col("spelled").alias("class"), "n")), class_of=class_of,
+                 counts=rare.select("word", "n"), tokens=n, types=types, whole=whole, ratio=ratio, ends=known["ends"],
+                 likelihoods=likelihoods)
 
-def score(rows: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for rows of
-    ``rid, doc_id, held_out, text``."""
-    sent, ends = rows.sparkSession.sparkContext.broadcast(model["ratio"]), model["ends"]
 
-    def of_block(texts: pa.Table, told: dict) -> pa.Table:
-        ratio, log_end, log_new, out = sent.value, np.log10(ends + ADD), np.log10(ADD), []
-        logs = {w: np.log10(n + ADD) for w, (_, n) in told.items()}
-        for text in byte_texts(texts["text"]):
-            words = text.lower().split()
-            kinds = np.array([SPELLED, *[told[w][0] if w in told else spelled(w) for w in words], SPELLED], dtype=np.int64)
-            out.append((len(words) + 1, sum(w in told for w in words) + (ends > 0),
-                        float(sum(logs.get(w, log_new) for w in words) + log_end),
-                        float(ratio[kinds[:-1], kinds[1:]].sum())))
-        columns = list(zip(*out))
-        return pa.table({"doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(columns[0], pa.int64()),
-                         "n_known": pa.array(columns[1], pa.int64()), "log_sum": pa.array(columns[2], pa.float64()),
-                         "log_ratio": pa.array(columns[3], pa.float64())})
-    docs = with_words(in_blocks(rows), model["known"], of_block, "doc_id long, held_out boolean, n_tokens long, "
-                      "n_known long, log_sum double, log_ratio double")
+def train(rows: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
+    """The model of training ``text``."""
+    known = vocabulary(rows, frequent)
+    blocks = in_blocks(numbered(rows, F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), rows["text"]))
+    return fit(known, encoded(blocks, known), classes, rounds)
+
+
+def score(texts: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of encoded texts."""
+    sent = texts.sparkSession.sparkContext.broadcast(model["ratio"])
+
+    def of_block(rows: pa.Table, told: pa.Table) -> pa.Table:
+        ratio, look, sums = sent.value, lookup(told) if told.num_rows else None, []
+        for ids in rows["ids"].to_pylist():
+            ids = np.frombuffer(ids, dtype=np.int32)
+            kinds = np.concatenate([[SPELLED], look(ids) if len(ids) else [], [SPELLED]]).astype(np.int64)
+            sums.append(float(ratio[kinds[:-1], kinds[1:]].sum()))
+        return rows.drop_columns(["block", "ids"]).append_column("log_ratio", pa.array(sums, pa.float64()))
+    told = slices_of(texts, ["block"], ["ids"]).join(class_slices(model["class_of"]), "slice").select("block", "slice", "classes")
+    docs = texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        of_block, "doc_id long, held_out boolean, n_tokens long, n_known long, log_sum double, log_ratio double")
     base = float(np.log10(model["tokens"] + ADD * (model["types"] + 1)))
     own = float(np.log10(model["whole"]))
     return docs.select(
@@ -312,5 +501,7 @@ def judge(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rou
     """Scores, and ``perplexity``, of every document under the model of those not held out."""
     rows = numbered(docs, docs["doc_id"].cast("long").alias("doc_id"), held_out(docs["doc_id"]).alias("held_out"), docs["text"])
     with swept(docs.sparkSession):
-        model = train(rows.where(~F.col("held_out")), frequent, classes, rounds)
-    return score(rows, model).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+        known = vocabulary(rows.where(~F.col("held_out")), frequent)
+        texts = encoded(in_blocks(rows), known)
+        model = fit(known, texts.where(~F.col("held_out")), classes, rounds)
+    return score(texts, model).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
