@@ -3,7 +3,8 @@
 Tokens are lower-case words and one end per text.  Words that occur at least ``frequent`` times in
 the training texts, a fixed count whatever their size, are put into ``classes`` classes by
 exchange: in each round half of them, by a hash, move to the class that raises the likelihood of
-the class bigrams most, given the others; rounds go on in parallel over the words.  All other
+the class bigrams most, given the others, in parallel over the words; the most likely classes of all
+rounds are kept.  All other
 words, known or not, are in one of ``SPELLED`` classes by their last character, and the end is a
 class of its own, which also stands before a text.
 
@@ -412,13 +413,14 @@ def exchange(pairs: DataFrame, words: DataFrame, tokens: int, classes: int = CLA
     """``number, class`` of the frequent words, the counts of class bigrams, and the likelihood
     (natural logarithm a token) of the class bigrams before each round and after the last.
 
-    Frequent words start in turn; the first ``FIRST`` classes are fixed.  What reaches the driver
-    is the square of classes.
+    Frequent words start in turn; the first ``FIRST`` classes are fixed.  Words that move at one
+    time may get in each other's way, so of all rounds the classes that are most likely are
+    returned.  What reaches the driver is the square of classes.
     """
     size = FIRST + classes
     asked = stored(slices_of(pairs, ["side", "part"], ["word", "other"]), "classes-asked")
     class_of = stored(words.select("number", (F.col("number") % classes + FIRST).cast("int").alias("class")), "classes-of")
-    likelihoods = []
+    likelihoods, most_likely = [], None
     for turn in range(rounds + 1):
         last = turn == rounds
         around = stored(contexts(pairs, asked, class_of, size, None if last else turn), "classes-around")
@@ -427,8 +429,10 @@ def exchange(pairs: DataFrame, words: DataFrame, tokens: int, classes: int = CLA
             square[r.side, r.other] = r.n
         gain = _f(square).sum() - _f(square.sum(axis=0)).sum() - _f(square.sum(axis=1)).sum() + _f(square.sum())
         likelihoods.append(float(gain / max(square.sum(), 1)))
+        if likelihoods[-1] == max(likelihoods):
+            most_likely = class_of, square
         if last:
-            return class_of, square, likelihoods
+            return *most_likely, likelihoods
         moved = moves(around.where("word IS NOT NULL"), square, class_of, tokens // PART + FIRST)
         class_of = stored(class_of.join(moved, class_of["number"] == moved["word"], "left")
                           .select("number", F.coalesce("best", "class").alias("class")), "classes-of")
