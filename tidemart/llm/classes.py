@@ -3,10 +3,9 @@
 Tokens are lower-case words and one end per text.  Words that occur at least ``frequent`` times in
 the training texts, a fixed count whatever their size, are put into ``classes`` classes by
 exchange: in each round half of them, by a hash, move to the class that raises the likelihood of
-the class bigrams most, given the others, in parallel over the words; the most likely classes of all
-rounds are kept.  All other
-words, known or not, are in one of ``SPELLED`` classes by their last character, and the end is a
-class of its own, which also stands before a text.
+the class bigrams most, given the others, in parallel over the words; the most likely classes of
+all rounds are kept.  All other words, known or not, are in one of ``SPELLED`` classes by their
+last character, and the end is a class of its own, which also stands before a text.
 
 A token's probability is that of its class after the class before, times that of the word in its
 class.  Transitions are counted over all training texts and drawn towards the frequency of the
@@ -31,6 +30,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -167,7 +167,7 @@ def encoded(blocks: DataFrame, known: dict) -> DataFrame:
         log_end, log_new = float(np.log10(ends + ADD)), float(np.log10(ADD))
         for text in byte_texts(texts["text"]):
             of_text = text.lower().split()
-            at = np.fromiter((place.get(w, -1) for w in of_text), dtype=np.int64, count=len(of_text))
+            at = np.fromiter(map(place.get, of_text, repeat(-1)), dtype=np.int64, count=len(of_text))
             new = np.flatnonzero(at < 0)
             ids = symbols[at] if len(symbols) else np.empty(len(at), dtype=np.int32)
             ids[new] = [spelled(of_text[i]) for i in new]
@@ -398,10 +398,11 @@ def moves(around: DataFrame, square: np.ndarray, class_of: DataFrame, spread: in
         square = sent.value
         logs = _f(square)
         for batch in batches:
-            best = []
-            for now, sides, others, ns in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3, 4)]):
-                sums = np.zeros((3, len(square)))
-                np.add.at(sums, (sides, others), ns)
+            best, cuts = [], batch.column(2).offsets.to_numpy()
+            sides, others, ns = (batch.column(k).values.to_numpy() for k in (2, 3, 4))
+            at = sides * len(square) + others
+            for now, a, b in zip(batch.column(1).to_pylist(), cuts, cuts[1:]):
+                sums = np.bincount(at[a:b], weights=ns[a:b], minlength=3 * len(square)).reshape(3, -1)
                 best.append(best_class(square, now, sums[0], sums[1], sums[2].sum(), FIRST, logs))
             yield pa.record_batch([batch.column(0), pa.array(best, pa.int32())], names=["word", "best"])
     placed = lists.join(class_of, lists["word"] == class_of["number"])
