@@ -4,6 +4,10 @@ All rows of a key in one micro-batch meet in one task, sorted by event time ther
 What bounds them is the size of a micro-batch, so set ``maxOffsetsPerTrigger`` or
 ``maxFilesPerTrigger`` on the source.  State sits in the state store and is kept
 small: a date, a flag, one row, or the rows still waiting for the watermark.
+
+A call from Python to the state store costs as much as hundreds of rows.  So jobs with as many
+keys as rows deal their keys to buckets (:func:`dealt`), and a bucket has one list of packed
+chunks, read and written by one call each.  Chunks are added, old ones stay as they are.
 """
 
 from __future__ import annotations
@@ -11,7 +15,9 @@ from __future__ import annotations
 import datetime
 import json
 import math
+import pickle
 import sys
+import zlib
 from collections.abc import Iterator, Sequence
 
 from pyspark import cloudpickle
@@ -46,6 +52,31 @@ def _with(schema: T.StructType, **added: T.DataType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(n, k) for n, k in added.items()])
 
 
+BUCKETS = 16_384
+_KEY = 16
+
+
+def dealt(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """``df`` with ``_bucket`` and, as its last column, ``_key``: 128 bits of hash that stand for the
+    key, of which null is a value."""
+    parts = [c for k in keys for c in (F.col(k).isNull(), F.col(k))]
+    first, second = (F.xxhash64(F.lit(n), *parts) for n in (1, 2))
+    text = F.concat(*[F.lpad(F.hex(h), _KEY, "0") for h in (first, second)])
+    return df.withColumns({"_bucket": F.pmod(first, F.lit(buckets)).cast("int"), "_key": F.unhex(text)})
+
+
+def _pack(value) -> bytes:
+    return zlib.compress(pickle.dumps(value, pickle.HIGHEST_PROTOCOL), 1)
+
+
+def _unpack(chunk: bytes):
+    return pickle.loads(zlib.decompress(chunk))
+
+
+def _listed(state) -> Iterator[tuple]:
+    return state.get() if state.exists() else iter(())
+
+
 class _Ordered(StatefulProcessor):
     """Common part: rows of a key come sorted by event time and tie-breakers."""
 
@@ -218,29 +249,57 @@ def bounces(df: DataFrame, key: str, ts: str, entry: str, within_ms: int, delay:
 
 
 class LatestAfterDelay(StatefulProcessor):
-    """Gives the row with the highest version a fixed time after a key's first row."""
+    """Gives the row with the highest version a fixed time after a key's first row.
+
+    Of a bucket of keys, each micro-batch adds the best rows of its keys and when they are due; the
+    first of a key says when the best of all of them comes out.
+    """
+
+    CHUNK = 2_000
 
     def __init__(self, version: Sequence[str], delay_ms: int, schema: T.StructType):
-        self.version, self.delay, self.schema = list(version), delay_ms, schema
+        self.names, self.delay = schema.fieldNames(), delay_ms
+        self.version = [self.names.index(c) for c in version]
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.best = handle.getValueState("best", self.schema)
+        self.handle, self.row = handle, Row(*self.names)
+        self.waiting = handle.getListState("waiting", "due bigint, rows binary")
+
+    def _better(self, best: dict, key: bytes, values: tuple) -> None:
+        place = _place(values[i] for i in self.version)
+        if key not in best or place > best[key][0]:
+            best[key] = place, values
+
+    def _chunks(self, due: int, rows: Sequence[tuple]) -> list[tuple]:
+        return [(due, _pack(rows[i:i + self.CHUNK])) for i in range(0, len(rows), self.CHUNK)]
 
     def handleInputRows(self, key, rows, timerValues):
-        places = [self.schema.fieldNames().index(c) for c in self.version]
-        held = self.best.get() if self.best.exists() else None
-        top = max(rows, key=lambda r: _place(r[i] for i in places))
-        if held is None:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay)
-        if held is None or _place(top[i] for i in places) > _place(held[i] for i in places):
-            self.best.update(_plain(top))
+        best, due = {}, timerValues.getCurrentProcessingTimeInMs() + self.delay
+        for row in rows:
+            self._better(best, row[-1], tuple(row[:len(self.names)]))
+        self.waiting.appendList(self._chunks(due, [(k, values) for k, (_, values) in best.items()]))
+        self.handle.registerTimer(due)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.best.exists():
-            yield Row(**dict(zip(self.schema.fieldNames(), self.best.get())))
-            self.best.clear()
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        held = [(due, _unpack(rows)) for due, rows in _listed(self.waiting)]
+        done = {k for due, rows in held if due <= now for k, _ in rows}
+        if not done:
+            return
+        best = {}
+        for _, rows in held:
+            for k, values in rows:
+                if k in done:
+                    self._better(best, k, values)
+        left = [(due, [r for r in rows if r[0] not in done]) for due, rows in held]
+        kept = [chunk for due, rows in left for chunk in self._chunks(due, rows)]
+        if kept:
+            self.waiting.put(kept)
+        else:
+            self.waiting.clear()
+        for _, values in best.values():
+            yield self.row(*values)
 
     def close(self) -> None:
         pass
@@ -249,7 +308,7 @@ class LatestAfterDelay(StatefulProcessor):
 def latest_after_delay(df: DataFrame, key: str, version: str | Sequence[str], delay_ms: int = 2000) -> DataFrame:
     """One row per key and burst of versions; version columns must not be null."""
     version = [version] if isinstance(version, str) else version
-    return df.groupBy(key).transformWithState(
+    return dealt(df, [key]).groupBy("_bucket").transformWithState(
         LatestAfterDelay(version, delay_ms, df.schema), df.schema, "append", "ProcessingTime")
 
 
@@ -407,33 +466,41 @@ def touched_facts(df: DataFrame, parent: str) -> DataFrame:
         TouchedFacts(out.fieldNames()), out, "append", "None")
 
 
-class FirstSeen(_Ordered):
+class FirstSeen(StatefulProcessor):
     """Marks the first row of a key; a key is forgotten ``ttl_ms`` after it was first seen.
 
-    Rows pass one by one, only the earliest of the micro-batch is held back until all have been
-    seen.  The time to live is that of the state store, by the clock and not by event time.
+    Rows pass one by one, only the earliest of a new key is held back until all of the micro-batch
+    have been seen.  The time to live is that of the state store, by the clock and not by event
+    time.  A bucket holds 16 bytes of each of its keys, in one chunk per micro-batch.
     """
 
-    def __init__(self, ts: str, ties: Sequence[str], ttl_ms: int, only: bool):
-        super().__init__(ts, ties)
-        self.ttl, self.only = ttl_ms, only
+    def __init__(self, names: Sequence[str], order: Sequence[str], ttl_ms: int, only: bool):
+        self.names, self.ttl, self.only = list(names), ttl_ms, only
+        self.order = [self.names.index(c) for c in order]
 
     def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "yes boolean", self.ttl)
+        self.row = Row(*self.names) if self.only else Row(*self.names, "is_first")
+        self.seen = handle.getListState("seen", "keys binary", self.ttl)
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self.seen.exists()
-        best, place = None, None
+        known = {keys[i:i + _KEY] for (keys,) in _listed(self.seen) for i in range(0, len(keys), _KEY)}
+        best, width = {}, len(self.names)
         for row in rows:
-            if not known:
-                at = tuple(row[c] for c in self.order)
-                if best is None or at < place:
-                    best, place, row = row, at, best
-            if row is not None and not self.only:
-                yield Row(**row.asDict(), is_first=0)
-        if best is not None:
-            self.seen.update((True,))
-            yield best if self.only else Row(**best.asDict(), is_first=1)
+            k, values = row[-1], row[:width]
+            if k not in known:
+                at, held = tuple(row[i] for i in self.order), best.get(k)
+                if held is None or at < held[0]:
+                    best[k] = at, values
+                    values = held and held[1]
+            if values is not None and not self.only:
+                yield self.row(*values, 0)
+        if best:
+            self.seen.appendValue((b"".join(best),))
+        for _, values in best.values():
+            yield self.row(*values) if self.only else self.row(*values, 1)
+
+    def close(self) -> None:
+        pass
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str] = (),
@@ -444,18 +511,19 @@ def first_seen(df: DataFrame, keys: Sequence[str], ts: str, ties: Sequence[str]
     The result carries no watermark; set one on it to window it in the same query.
     """
     out = df.schema if only else _with(df.schema, is_first=T.LongType())
-    return df.groupBy(*keys).transformWithState(
-        FirstSeen(ts, ties, ttl_ms, only), out, "append", "ProcessingTime")
+    return dealt(df, keys).groupBy("_bucket").transformWithState(
+        FirstSeen(df.columns, [ts, *ties], ttl_ms, only), out, "append", "ProcessingTime")
 
 
 class PairJoin(StatefulProcessor):
-    """Joins the two sides of a key in whatever order they come.
-
-    A new row is joined with all rows of the other side that the state holds, and then added to
-    its own list, whose rows each live ``ttl_ms``: the lists are appended to and read, never
-    rewritten.  The right side, of which a key has few rows, is read once per micro-batch.  As an
-    outer join a left row comes out alone at once if it has no partner, and again for each
-    partner that comes later.
+    """Joins the two sides of each key of a bucket in whatever order they come.
+
+    A new left row is joined with the right rows that the state holds, and then added to a list;
+    at the end of the micro-batch its new right rows are joined with the whole list.  Rows live
+    ``ttl_ms`` each; the lists are appended to and read, never rewritten.  The right side, of which
+    a key has few rows, is read once per micro-batch, the left one only for new right rows.  As an
+    outer join a left row comes out alone if it has no partner by the end of its micro-batch, and
+    again for each partner that comes later.
     """
 
     CHUNK = 1_000
@@ -464,37 +532,40 @@ class PairJoin(StatefulProcessor):
         self.left, self.right, self.ttl, self.outer = left, right, ttl_ms, outer
 
     def init(self, handle) -> None:
-        self.lefts = handle.getListState("lefts", self.left, self.ttl)
-        self.rights = handle.getListState("rights", self.right, self.ttl)
-
-    def _joined(self, key, left, right):
-        names = ["_key", "_salt", *self.left.fieldNames(), *self.right.fieldNames(), "matched"]
-        return Row(**dict(zip(names, (*key, *left, *(right or [None] * len(self.right)), int(right is not None)))))
+        self.row = Row(*self.left.fieldNames(), *self.right.fieldNames(), "matched")
+        self.lefts = handle.getListState("lefts", "batch bigint, rows binary", self.ttl)
+        self.rights = handle.getListState("rights", "rows binary", self.ttl)
 
     def handleInputRows(self, key, rows, timerValues):
-        partners = [_plain(r) for r in self.rights.get()] if self.rights.exists() else []
-        fresh = []
+        batch, width, end = timerValues.getCurrentProcessingTimeInMs(), len(self.left), len(self.left) + len(self.right)
+        none, partners, new, fresh, alone = (None,) * len(self.right), {}, {}, [], False
+        for (chunk,) in _listed(self.rights):
+            for k, right in _unpack(chunk):
+                partners.setdefault(k, []).append(right)
         for row in rows:
+            k = row[-1]
             if row["_left"]:
-                left = tuple(_plain(row[c]) for c in self.left.fieldNames())
-                for right in partners:
-                    yield self._joined(key, left, right)
-                if self.outer and not partners:
-                    yield self._joined(key, left, None)
-                fresh.append(left)
+                left = tuple(row[:width])
+                for right in partners.get(k, ()):
+                    yield self.row(*left, *right, 1)
+                alone = alone or k not in partners
+                fresh.append((k, left))
                 if len(fresh) >= self.CHUNK:
-                    self.lefts.appendList(fresh)
+                    self.lefts.appendValue((batch, _pack(fresh)))
                     fresh = []
             else:
-                right = tuple(_plain(row[c]) for c in self.right.fieldNames())
-                for left in self.lefts.get() if self.lefts.exists() else ():
-                    yield self._joined(key, _plain(left), right)
-                for left in fresh:
-                    yield self._joined(key, left, right)
-                partners.append(right)
-                self.rights.appendValue(right)
+                new.setdefault(k, []).append(tuple(row[width:end]))
         if fresh:
-            self.lefts.appendList(fresh)
+            self.lefts.appendValue((batch, _pack(fresh)))
+        if new:
+            self.rights.appendValue((_pack([(k, right) for k, found in new.items() for right in found]),))
+        if new or self.outer and alone:
+            for at, chunk in _listed(self.lefts):
+                for k, left in _unpack(chunk) if new or at == batch else ():
+                    for right in new.get(k, ()):
+                        yield self.row(*left, *right, 1)
+                    if self.outer and at == batch and k not in new and k not in partners:
+                        yield self.row(*left, *none, 0)
 
     def close(self) -> None:
         pass
@@ -515,18 +586,17 @@ def pair_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
         parts = F.sequence(F.lit(0), F.lit(salts - 1))
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int") if is_left else F.explode(parts)
         none = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
-        return df.where(F.col(key).isNotNull() | F.lit(is_left and how == "left")).select(
-            F.col(key).alias("_key"), salt.alias("_salt"), F.lit(is_left).alias("_left"), *df.columns, *none)
+        kept = df.where(F.col(key).isNotNull() | F.lit(is_left and how == "left"))
+        sides = [*df.columns, *none] if is_left else [*none, *df.columns]
+        return kept.select(*sides, F.col(key).alias("_on"), salt.alias("_salt"), F.lit(is_left).alias("_left"))
 
     def nullable(schema: T.StructType) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
     lefts, rights = nullable(left.schema), nullable(right.schema)
     both = tagged(left, left_key, right, True).unionByName(tagged(right, right_key, left, False))
-    out = T.StructType([T.StructField("_key", left.schema[left_key].dataType), T.StructField("_salt", T.IntegerType()),
-                        *lefts.fields, *rights.fields, T.StructField("matched", T.LongType())])
-    joined = both.groupBy("_key", "_salt").transformWithState(
+    out = T.StructType([*lefts.fields, *rights.fields, T.StructField("matched", T.LongType())])
+    return dealt(both, ["_on"]).groupBy("_bucket", "_salt").transformWithState(
         PairJoin(lefts, rights, ttl_ms, how == "left"), out, "append", "ProcessingTime")
-    return joined.drop("_key", "_salt")
 
 
 BITS = 32_768
