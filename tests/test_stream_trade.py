@@ -4,9 +4,11 @@ import datetime as dt
 import os
 import random
 import time
+import types
 
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tidemart import schemas, sinks
 from tidemart.operators import dims
@@ -169,6 +171,52 @@ def test_size_of_the_filter():
     assert state.filter_size(1, 0.5) == (1, 1)
 
 
+# Keys dealt to buckets.
+
+class Handle:
+    """State lists without a store."""
+
+    def getListState(self, name, schema, ttl=None):
+        held = []
+        return types.SimpleNamespace(exists=lambda: bool(held), get=lambda: iter(held), appendValue=held.append,
+                                     appendList=held.extend)
+
+
+def chunk(keys, **columns):
+    return Row(_bucket=0, _rows=state._chunk(pa.table({**columns, "_key": pa.array([k * 16 for k in keys], pa.binary())})))
+
+
+def test_first_rows_of_several_chunks():
+    first = state.FirstSeen(["ts"], 1_000, False)
+    first.init(Handle())
+
+    def go(*chunks):
+        out = [state._rows(r[0]) for r in first.handleInputRows((0,), iter(chunks), None)]
+        return sorted((r["id"], r["is_first"]) for t in out for r in t.to_pylist())
+    assert go(chunk([b"a", b"a", b"b"], id=[1, 2, 3], ts=[5, 4, 9]), chunk([b"a", b"b"], id=[4, 5], ts=[3, 9]),
+              chunk([b"a", b"c"], id=[6, 7], ts=[6, 1])) == [(1, 0), (2, 0), (3, 1), (4, 1), (5, 0), (6, 0), (7, 1)]
+    assert go(chunk([b"c", b"d"], id=[8, 9], ts=[0, 0])) == [(8, 0), (9, 1)]
+
+
+@pytest.mark.parametrize("job", ["first", "latest", "pairs", "facts"])
+def test_state_is_kept_by_buckets_of_keys(spark, tmp_path, by_clock, job):
+    """So that the calls to the state store do not grow with the keys."""
+    rows = spark.range(20_000).select(
+        F.nullif(F.col("id"), F.lit(7)).cast("string").alias("k"), "id", F.lit(at(0)).cast("timestamp").alias("ts"))
+    rows.write.parquet(str(tmp_path / "in"))
+    df = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    made = {
+        "first": lambda: state.first_seen(df, ["k"], "ts", ["id"]),
+        "latest": lambda: state.latest_after_delay(df, "k", "id", 1),
+        "pairs": lambda: state.pair_join(df.select("k", "id"), df.select(F.col("k").alias("rk"), "ts"), "k", "rk", salts=1),
+        "facts": lambda: state.touched_facts(df.select("k", F.lit("c").alias("_child"), F.col("id").cast("string")), "k")}
+    given = []
+    query = jobs.start(sinks.for_each(made[job](), lambda b, n: given.append(b.count()), str(tmp_path / "c")))
+    query.awaitTermination()
+    assert 0 < query.lastProgress.stateOperators[0].numRowsUpdated <= 3 * state.BUCKETS
+    assert sum(given) == {"first": 20_000, "latest": 0, "pairs": 19_999, "facts": 20_000}[job]
+
+
 # The traffic window.
 
 def test_late_bounces_reach_the_window(spark, tmp_path):
