@@ -198,7 +198,7 @@ def test_first_rows_of_several_chunks():
     assert go(chunk([b"c", b"d"], id=[8, 9], ts=[0, 0])) == [(8, 0), (9, 1)]
 
 
-@pytest.mark.parametrize("job", ["first", "latest", "pairs", "facts"])
+@pytest.mark.parametrize("job", ["first", "latest", "pairs", "facts", "flag"])
 def test_state_is_kept_by_buckets_of_keys(spark, tmp_path, by_clock, job):
     """So that the calls to the state store do not grow with the keys."""
     rows = spark.range(20_000).select(
@@ -209,12 +209,13 @@ def test_state_is_kept_by_buckets_of_keys(spark, tmp_path, by_clock, job):
         "first": lambda: state.first_seen(df, ["k"], "ts", ["id"]),
         "latest": lambda: state.latest_after_delay(df, "k", "id", 1),
         "pairs": lambda: state.pair_join(df.select("k", "id"), df.select(F.col("k").alias("rk"), "ts"), "k", "rk", salts=1),
-        "facts": lambda: state.touched_facts(df.select("k", F.lit("c").alias("_child"), F.col("id").cast("string")), "k")}
+        "facts": lambda: state.touched_facts(df.select("k", F.lit("c").alias("_child"), F.col("id").cast("string")), "k"),
+        "flag": lambda: state.new_flag(df.select("k", "ts", F.to_date("ts").alias("day"), F.lit("1").alias("f")), "k", "ts", "day", "f")}
     given = []
     query = jobs.start(sinks.for_each(made[job](), lambda b, n: given.append(b.count()), str(tmp_path / "c")))
     query.awaitTermination()
     assert 0 < query.lastProgress.stateOperators[0].numRowsUpdated <= 3 * state.BUCKETS
-    assert sum(given) == {"first": 20_000, "latest": 0, "pairs": 19_999, "facts": 20_000}[job]
+    assert sum(given) == {"first": 20_000, "latest": 0, "pairs": 19_999, "facts": 20_000, "flag": 20_000}[job]
 
 
 # The traffic window.

@@ -208,35 +208,52 @@ def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, day: str,
         DayMarks(ts, day, ties, gap, True, keep_ms), out, "append", "EventTime", eventTimeColumnName=ts)
 
 
-class NewFlag(_Ordered):
-    """Keeps a new-visitor flag only on the day of a key's first row."""
+class NewFlag(StatefulProcessor):
+    """Keeps a new-visitor flag only on the day of a key's first row.
+
+    The first micro-batch of a key has to be seen whole, so that of a bucket is gone through twice.
+    State adds the first days of new keys.
+    """
 
     def __init__(self, ts: str, day: str, flag: str, ties: Sequence[str] = ()):
-        super().__init__(ts, ties)
-        self.day, self.flag = day, flag
+        self.order, self.day, self.flag = [ts, *ties], day, flag
 
     def init(self, handle) -> None:
-        self.anchor = handle.getValueState("anchor", "day date")
+        self.anchors = handle.getListState("anchors", "rows binary")
+
+    def _read(self, rows: pa.Table) -> tuple[list, list, list]:
+        return rows["_key"].to_pylist(), rows[self.day].cast(pa.int32()).to_pylist(), rows[self.flag].to_pylist()
 
     def handleInputRows(self, key, rows, timerValues):
-        anchor = self.anchor.get()[0] if self.anchor.exists() else None
-        if anchor is None:
-            # Only the first micro-batch of a key has to be seen whole before its rows come out.
-            rows = list(rows)
-            first = min(rows, key=lambda r: _place(r[c] for c in self.order))
-            # A first row without the flag means the visitor came before that day.
-            anchor = first[self.day] - datetime.timedelta(days=0 if first[self.flag] == "1" else 1)
-            self.anchor.update((anchor,))
-        for row in rows:
-            if row[self.flag] == "1" and row[self.day] != anchor:
-                row = Row(**{**row.asDict(), self.flag: "0"})
-            yield row
+        anchors, first, chunks = {}, {}, [row[1] for row in rows]
+        for (chunk,) in _listed(self.anchors):
+            table = _rows(chunk)
+            anchors.update(zip(table["_key"].to_pylist(), table["anchor"].to_pylist()))
+        for chunk in chunks:
+            table = _rows(chunk)
+            for k, day, flag, place in zip(*self._read(table), _listed_columns(table, self.order)):
+                if k not in anchors and (k not in first or place < first[k][0]):
+                    first[k] = place, day, flag
+        # A first row without the flag means the visitor came before that day.
+        new = {k: day - (0 if flag == "1" else 1) for k, (_, day, flag) in first.items()}
+        if new:
+            self.anchors.appendValue((_chunk(pa.table({
+                "_key": pa.array(list(new), pa.binary()), "anchor": pa.array(list(new.values()), pa.int32())})),))
+            anchors.update(new)
+        for chunk in chunks:
+            table = _rows(chunk)
+            flags = ["0" if flag == "1" and day != anchors[k] else flag for k, day, flag in zip(*self._read(table))]
+            place = table.column_names.index(self.flag)
+            table = table.set_column(place, self.flag, pa.array(flags, table[self.flag].type))
+            yield Row(_rows=_chunk(table.drop_columns(["_key"])))
+
+    def close(self) -> None:
+        pass
 
 
 def new_flag(df: DataFrame, key: str, ts: str, day: str, flag: str,
              ties: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(key).transformWithState(
-        NewFlag(ts, day, flag, ties), df.schema, "append", "None")
+    return by_bucket(df, [key], NewFlag(ts, day, flag, ties), df.schema, clock=False)
 
 
 class Bounces(_Ordered):
