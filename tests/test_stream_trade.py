@@ -218,6 +218,26 @@ def test_state_is_kept_by_buckets_of_keys(spark, tmp_path, by_clock, job):
     assert sum(given) == {"first": 20_000, "latest": 0, "pairs": 19_999, "facts": 20_000, "flag": 20_000}[job]
 
 
+def test_salts_deal_the_same_number_of_buckets(spark, tmp_path, by_clock):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("k"), "id")
+    rows.write.parquet(str(tmp_path / "in"))
+    df = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    joined = state.pair_join(df, df.select(F.col("k").alias("rk"), F.col("id").alias("other")), "k", "rk", salts=4)
+    given = []
+    query = jobs.start(sinks.for_each(joined, lambda b, n: given.append(b.count()), str(tmp_path / "c")))
+    query.awaitTermination()
+    assert given == [20_000] and 0 < query.lastProgress.stateOperators[0].numRowsUpdated <= 3 * state.BUCKETS
+
+
+def test_first_rows_are_found_over_many_small_chunks(monkeypatch):
+    monkeypatch.setattr(state, "_MOST_ROWS", 4)
+    rows = [(b"%d" % (i % 3), 100 - i % 50, i) for i in range(99)]
+    table = pa.table({"_key": pa.array([r[0] for r in rows]), "v": [r[1] for r in rows], "id": [r[2] for r in rows]})
+    best = state._firsts([table.slice(i, 2) for i in range(0, 99, 2)], ["_key"], [("v", "ascending")])
+    wanted = {k: min((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2])) for k in (b"0", b"1", b"2")}
+    assert sorted(zip(*best.to_pydict().values())) == sorted(wanted.values())
+
+
 # The traffic window.
 
 def test_late_bounces_reach_the_window(spark, tmp_path):
