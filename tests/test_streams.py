@@ -92,6 +92,36 @@ def test_day_marks_over_batches_equal_batch(spark, tmp_path):
     assert sorted((r["k"], r["day"], r["is_first_day"], r["is_back"]) for r in found) == expected
 
 
+def rows_in_state(df, tmp_path, name):
+    """The most rows that the first stateful operator changed in a micro-batch, and the rows given."""
+    given = []
+    query = jobs.start(sinks.for_each(df, lambda b, n: given.append(b.count()), str(tmp_path / f"{name}-checkpoint")))
+    query.awaitTermination()
+    return max(p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.stateOperators), sum(given)
+
+
+def test_bounces_and_day_marks_keep_state_by_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "BUCKETS", 8)
+    users = [(i, f"u{i}", at(i % 50), True) for i in range(2_000)]
+    feed = Feed(spark, tmp_path, BOUNCE).add(users, [(-1, "end", at(1_000), False)])
+    changed, given = rows_in_state(state.bounces(feed.stream(), "k", "ts", "entry", 10_000, "2 seconds", ["id"]), tmp_path, "bounces")
+    assert given == 2_000 and changed <= 200
+    for name, delay in (("marks", None), ("timely", "60 seconds")):
+        changed, given = rows_in_state(jobs.day_marks(feed.stream(), "k", "ts", ["id"], delay=delay), tmp_path, name)
+        assert given == 2_001 and changed <= 200
+
+
+def test_day_marks_of_rows_without_key_day_or_ties(spark, tmp_path):
+    """A null key is a key, a column that is no tie may be null, and large numbers stay exact."""
+    big = 2 ** 60 + 1
+    feed = Feed(spark, tmp_path, "id long, k string, ts timestamp, n long, m map<string,string>").add(
+        [(1, None, at(0), None, {"a": "b"}), (2, None, at(5), 1, None), (3, "x", at(6), big, None)],
+        [(4, None, at(0, 9), big, {"c": None}), (5, "x", at(1), None, None)])
+    found = drain(jobs.day_marks(feed.stream(), "k", "ts", ["id"], delay="60 days"), tmp_path)
+    assert sorted((r["id"], r["k"], r["is_first_day"], r["is_back"], r["n"], r["m"]) for r in found) == [
+        (1, None, 1, 0, None, {"a": "b"}), (3, "x", 1, 0, big, None), (4, None, 0, 1, big, {"c": None})]
+
+
 def test_state_then_window_in_one_query(spark, tmp_path):
     pages = Feed(spark, tmp_path, "common struct<uid:string>, page struct<last_page_id:string>, event_time timestamp")
 

@@ -33,11 +33,6 @@ def _millis(ts: datetime.datetime) -> int:
     return int(ts.timestamp() * 1_000_000) // 1000
 
 
-def _place(values) -> tuple:
-    """Values to compare by: a time that comes back from state has a zone, one of a row has none."""
-    return tuple(round(v.timestamp() * 1_000_000) if isinstance(v, datetime.datetime) else v for v in values)
-
-
 def _plain(value):
     """Rows as tuples at every depth, which is the form that state takes."""
     if isinstance(value, tuple):
@@ -99,9 +94,12 @@ def _from_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def by_bucket(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor, out: T.StructType,
-              salt: Sequence[str] = (), salts: int = 1, clock: bool = True) -> DataFrame:
+              salt: Sequence[str] = (), salts: int = 1, mode: str = "ProcessingTime", ts: str | None = None) -> DataFrame:
     """Run a processor of chunks on a stream, by default with timers or a time to live by the clock.
 
+    With ``ts`` the processor gives pandas frames, of which this column keeps the event time; a
+    stream has one watermark, and chunks would lose it.
+
     Its chunks hold the columns of ``df`` and ``_key``: 128 bits of hash that stand for the key, of
     which null is a value.  ``salt`` names a column of numbers below ``salts`` that deals a key further,
     into as many buckets in all.
@@ -112,8 +110,9 @@ def by_bucket(df: DataFrame, keys: Sequence[str], processor: StatefulProcessor,
     bucket = F.pmod(first, F.lit(max(1, BUCKETS // salts))).cast("int") * salts
     dealt = df.withColumns({"_bucket": sum([F.col(c) for c in salt], bucket).cast("int"), "_key": F.unhex(text)})
     chunks = dealt.repartition("_bucket").mapInArrow(_to_chunks, "_bucket int, _rows binary")
-    done = chunks.groupBy("_bucket").transformWithState(
-        processor, "_rows binary", "append", "ProcessingTime" if clock else "None")
+    if ts:
+        return chunks.groupBy("_bucket").transformWithStateInPandas(processor, out, "append", mode, eventTimeColumnName=ts)
+    done = chunks.groupBy("_bucket").transformWithState(processor, "_rows binary", "append", mode)
     return done.mapInArrow(_from_chunks, out)
 
 
@@ -143,6 +142,51 @@ def _first_rows(table: pa.Table, keys: Sequence[str], order: Sequence[tuple[str,
     return table.take(at.filter(pa.array(np.r_[True, new])))
 
 
+def _sorted(table: pa.Table, order: Sequence[str]) -> pa.Table:
+    """Rows by key and order; equal ones keep theirs."""
+    by = table.select(["_key", *order]).append_column("_place", pa.array(np.arange(table.num_rows)))
+    return table.take(pa.compute.sort_indices(by, sort_keys=[(c, "ascending") for c in by.column_names])).combine_chunks()
+
+
+def _frame(rows: pa.Table):
+    """The rows in pandas, whole numbers exact beside nulls."""
+    return rows.to_pandas(integer_object_nulls=True, maps_as_pydicts="strict")
+
+
+def _same_as_next(keys: pa.ChunkedArray) -> np.ndarray:
+    """Of sorted keys, those that the next row has as well."""
+    keys = keys.combine_chunks()
+    if isinstance(keys, pa.ChunkedArray):
+        keys = pa.concat_arrays(keys.chunks) if keys.num_chunks else pa.array([], keys.type)
+    same = pa.compute.equal(keys.slice(0, max(len(keys) - 1, 0)), keys.slice(1)).to_numpy(zero_copy_only=False)
+    return np.append(same, False)[:len(keys)].astype(bool)
+
+
+def _times(rows: pa.Table, ts: str) -> np.ndarray:
+    """Event times in milliseconds."""
+    return rows[ts].cast(pa.timestamp("us", rows[ts].type.tz)).cast(pa.int64()).to_numpy() // 1000
+
+
+class _Timed(StatefulProcessor):
+    """Common part of buckets with event time: one timer a bucket, for what is due first."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.due = handle.getValueState("due", "at bigint")
+
+    def _wake(self, at: int) -> None:
+        if self.due.exists():
+            before = self.due.get()[0]
+            if before <= at:
+                return
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(at)
+        self.due.update((at,))
+
+    def close(self) -> None:
+        pass
+
+
 def _pairs(left: pa.ChunkedArray, right: pa.ChunkedArray) -> tuple[pa.Array, pa.Array]:
     """Places of all pairs of equal keys."""
     sides = [pa.table({"_key": keys, name: pa.array(range(len(keys)), pa.int64())}) for keys, name in ((left, "_l"), (right, "_r"))]
@@ -167,55 +211,84 @@ class _Ordered(StatefulProcessor):
         pass
 
 
-class DayMarks(_Ordered):
+class DayMarks(_Timed):
     """First row of each key and day, marked if it is the key's first day ever or
     comes more than ``gap`` days after its last day.
 
     As in a stream of single records, only the last day is remembered: an earlier
-    day that arrives late counts as a new one.
+    day that arrives late counts as a new one.  A bucket holds the last days of its keys in one
+    chunk.  Rows without a day are left out.
     """
 
     def __init__(self, ts: str, day: str, ties: Sequence[str] = (), gap: int = 7,
                  timely: bool = False, keep_ms: int | None = None):
-        super().__init__(ts, ties)
-        self.day, self.gap, self.timely, self.keep = day, gap, timely, keep_ms
+        self.order, self.day, self.gap, self.timely, self.keep = [ts, *ties], day, gap, timely, keep_ms
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "day string, at bigint")
+        super().init(handle)
+        self.last = handle.getValueState("last", "rows binary")
+
+    def _known(self) -> pa.Table:
+        """The last day of each key and when it came."""
+        if self.last.exists():
+            return _rows(self.last.get()[0])
+        return pa.table({"_key": pa.array([], pa.binary()), "day": pa.array([], pa.string()), "at": pa.array([], pa.int64())})
 
     def handleInputRows(self, key, rows, timerValues):
-        if self.timely:
-            now = timerValues.getCurrentWatermarkInMs()
-            rows = (r for r in rows if _millis(r[self.order[0]]) >= now)
-        last = self.last.get()[0] if self.last.exists() else None
-        before, at = last, None
+        known = self._known().combine_chunks()
+        now = timerValues.getCurrentWatermarkInMs() if self.timely else None
         # Only the first row of each day is held, so a busy key costs as much as it has days.
-        first, places = {}, {}
-        for row in rows:
-            day, place = row[self.day], _place(row[c] for c in self.order)
-            if day != before and (day not in first or place < places[day]):
-                first[day], places[day] = row, place
-        for day in sorted(first, key=places.get):
-            row = first[day]
-            back = last is not None and (_date(day) - _date(last)).days > self.gap
-            yield Row(**row.asDict(), is_first_day=int(last is None), is_back=int(back))
-            last, at = day, _millis(row[self.order[0]])
-        if last != before:
-            self.last.update((last, at))
-            if self.keep is not None:
-                self.handle.registerTimer(at + self.keep)
+        # Rows, or with event time pandas frames of rows.
+        chunks = (chunk for frame in rows for chunk in frame.iloc[:, 1]) if self.timely else (row[1] for row in rows)
+        new = (self._new(_rows(chunk), known, now) for chunk in chunks)
+        first = _firsts(new, ["_key", self.day], [(c, "ascending") for c in self.order])
+        if first is None or not first.num_rows:
+            return
+        first = _sorted(first, self.order)
+        goes_on, days = _same_as_next(first["_key"]), first[self.day].cast(pa.string()).combine_chunks()
+        starts = np.append(True, ~goes_on[:-1])
+        days = pa.concat_arrays(days.chunks) if isinstance(days, pa.ChunkedArray) else days
+        held = known["day"].take(pa.compute.index_in(first["_key"], known["_key"]))
+        within = pa.concat_arrays([pa.nulls(1, pa.string()), days.slice(0, len(days) - 1)])
+        before = pa.chunked_array([pa.compute.if_else(pa.array(starts), held.combine_chunks(), within)])
+        none = before.is_null().to_numpy()
+        back = np.zeros(len(days), np.int64)
+        dated = pa.array(~none)
+        apart = [c.filter(dated).cast(pa.date32()).cast(pa.int32()).to_numpy() for c in (pa.chunked_array([days]), before)]
+        back[~none] = apart[0] - apart[1] > self.gap
+        marked = first.drop_columns(["_key"]).append_column("is_first_day", pa.array(none.astype(np.int64)))
+        marked = marked.append_column("is_back", pa.array(back))
+        ends = pa.array(~goes_on)
+        latest = pa.table({"_key": first["_key"].cast(pa.binary()), "day": days, "at": _times(first, self.order[0])}).filter(ends)
+        others = known.filter(pa.compute.invert(pa.compute.is_in(known["_key"], latest["_key"])))
+        self.last.update((_chunk(pa.concat_tables([others, latest])),))
+        if self.keep is not None:
+            self._wake(pa.compute.min(latest["at"]).as_py() + self.keep)
+        for i in range(0, marked.num_rows, _MOST_ROWS):
+            part = marked.slice(i, _MOST_ROWS)
+            yield _frame(part) if self.timely else Row(_rows=_chunk(part))
+
+    def _new(self, rows: pa.Table, known: pa.Table, now: int | None) -> pa.Table:
+        """Rows in time whose day is not the last one of their key."""
+        if now is not None:
+            rows = rows.filter(pa.array(_times(rows, self.order[0]) >= now))
+        last = known["day"].take(pa.compute.index_in(rows["_key"], known["_key"]))
+        other = pa.compute.fill_null(pa.compute.not_equal(rows[self.day], last), True)
+        return rows.filter(pa.compute.and_(other, rows[self.day].is_valid()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.last.exists() and self.last.get()[1] + self.keep <= timerValues.getCurrentWatermarkInMs():
+        self.due.clear()
+        known = self._known()
+        left = known.filter(pa.compute.greater(known["at"], timerValues.getCurrentWatermarkInMs() - self.keep))
+        if left.num_rows:
+            if left.num_rows < known.num_rows:
+                self.last.update((_chunk(left),))
+            self._wake(pa.compute.min(left["at"]).as_py() + self.keep)
+        else:
             self.last.clear()
         return iter(())
 
 
-def _date(day: str) -> datetime.date:
-    return datetime.date.fromisoformat(day)
-
-
 def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, day: str,
               ties: Sequence[str] = (), gap: int = 7, delay: str | None = None,
               keep_ms: int | None = None) -> DataFrame:
@@ -231,9 +304,9 @@ def day_marks(df: DataFrame, keys: str | Sequence[str], ts: str, day: str,
         raise ValueError("forgetting keys needs a watermark delay")
     out = _with(df.schema, is_first_day=T.LongType(), is_back=T.LongType())
     if delay is None:
-        return df.groupBy(*keys).transformWithState(DayMarks(ts, day, ties, gap), out, "append", "None")
-    return df.withWatermark(ts, delay).groupBy(*keys).transformWithState(
-        DayMarks(ts, day, ties, gap, True, keep_ms), out, "append", "EventTime", eventTimeColumnName=ts)
+        return by_bucket(df, keys, DayMarks(ts, day, ties, gap), out, mode="None")
+    marks = DayMarks(ts, day, ties, gap, True, keep_ms)
+    return by_bucket(df.withWatermark(ts, delay), keys, marks, out, mode="EventTime", ts=ts)
 
 
 class NewFlag(StatefulProcessor):
@@ -282,53 +355,61 @@ class NewFlag(StatefulProcessor):
 
 def new_flag(df: DataFrame, key: str, ts: str, day: str, flag: str,
              ties: Sequence[str] = ()) -> DataFrame:
-    return by_bucket(df, [key], NewFlag(ts, day, flag, ties), df.schema, clock=False)
+    return by_bucket(df, [key], NewFlag(ts, day, flag, ties), df.schema, mode="None")
 
 
-class Bounces(_Ordered):
+class Bounces(_Timed):
     """Entry rows that no other page follows within a time span.
 
     Rows wait until the watermark is ``within`` past them, because only then all rows
     that could follow them have come.  Rows are judged in event-time order, however
-    they arrived.
+    they arrived.  Of a bucket of keys, each micro-batch adds its rows as chunks; those that are
+    due are judged at once.
     """
 
-    def __init__(self, ts: str, entry: str, within_ms: int, schema: T.StructType,
-                 ties: Sequence[str] = ()):
-        super().__init__(ts, ties)
-        self.entry, self.within, self.schema = entry, within_ms, schema
+    def __init__(self, ts: str, entry: str, within_ms: int, ties: Sequence[str] = ()):
+        self.order, self.entry, self.within = [ts, *ties], entry, within_ms
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
+        super().init(handle)
+        self.waiting = handle.getListState("waiting", "rows binary")
+
+    def _wait(self, tables: Iterable[pa.Table]) -> Iterator[tuple[bytes]]:
+        """Chunks for the state; sees to it that they are judged."""
+        first = None
+        for rows in tables:
+            if rows.num_rows:
+                at = int(_times(rows, self.order[0]).min())
+                first = at if first is None else min(first, at)
+                for i in range(0, rows.num_rows, _MOST_ROWS):
+                    yield (_chunk(rows.slice(i, _MOST_ROWS)),)
+        if first is not None:
+            self._wake(first + self.within)
 
     def handleInputRows(self, key, rows, timerValues):
         # What came before the watermark may have been judged already: such rows are late.
         now = timerValues.getCurrentWatermarkInMs()
-        new = [r for r in rows if _millis(r[self.order[0]]) >= now]
-        if new:
-            self.waiting.appendList([_plain(r) for r in new])
-            self.handle.registerTimer(min(_millis(r[self.order[0]]) for r in new) + self.within)
+        tables = (_rows(row[1]) for row in rows)
+        for chunk in self._wait(t.filter(pa.array(_times(t, self.order[0]) >= now)) for t in tables):
+            self.waiting.appendValue(chunk)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentWatermarkInMs()
-        names = self.schema.fieldNames()
-        rows = self.sorted(Row(**dict(zip(names, r))) for r in self.waiting.get())
-        at = [_millis(r[self.order[0]]) for r in rows]
-        done = sum(1 for ms in at if ms + self.within <= now)
-        for i in range(done):
-            follows = i + 1 < len(rows) and at[i + 1] - at[i] < self.within
-            if rows[i][self.entry] and not (follows and not rows[i + 1][self.entry]):
-                yield rows[i]
-        if done:
-            left = rows[done:]
-            if left:
-                self.waiting.put([_plain(r) for r in left])
-            else:
-                self.waiting.clear()
-        if done < len(rows):
-            self.handle.registerTimer(at[done] + self.within)
+        self.due.clear()
+        rows = _sorted(pa.concat_tables([_rows(chunk) for (chunk,) in _listed(self.waiting)]), self.order)
+        at = _times(rows, self.order[0])
+        done = at + self.within <= now
+        entry = pa.compute.fill_null(rows[self.entry], False).to_numpy()
+        follows = _same_as_next(rows["_key"]) & (np.diff(at, append=0) < self.within) & ~np.append(entry[1:], True)
+        left = list(self._wait([rows.filter(pa.array(~done))]))
+        if left:
+            self.waiting.put(left)
+        else:
+            self.waiting.clear()
+        out = rows.filter(pa.array(done & entry & ~follows)).drop_columns(["_key"])
+        for i in range(0, out.num_rows, _MOST_ROWS):
+            yield Row(_rows=_chunk(out.slice(i, _MOST_ROWS)))
 
 
 def bounces(df: DataFrame, key: str, ts: str, entry: str, within_ms: int, delay: str,
@@ -339,8 +420,7 @@ def bounces(df: DataFrame, key: str, ts: str, entry: str, within_ms: int, delay:
     Emitted rows are older than the watermark: window them in a second query that
     reads this one's output with a delay above ``within`` plus this delay.
     """
-    return df.withWatermark(ts, delay).groupBy(key).transformWithState(
-        Bounces(ts, entry, within_ms, df.schema, ties), df.schema, "append", "EventTime")
+    return by_bucket(df.withWatermark(ts, delay), [key], Bounces(ts, entry, within_ms, ties), df.schema, mode="EventTime")
 
 
 class LatestAfterDelay(StatefulProcessor):
@@ -552,7 +632,7 @@ def touched_facts(df: DataFrame, parent: str) -> DataFrame:
     """``df`` has the parent key, ``_child`` (null for rows of the parent itself) and
     further text columns; the result has the same without ``_child``."""
     out = df.drop("_child").schema
-    return by_bucket(df, [parent], TouchedFacts(out.fieldNames()), out, clock=False)
+    return by_bucket(df, [parent], TouchedFacts(out.fieldNames()), out, mode="None")
 
 
 class FirstSeen(StatefulProcessor):
