@@ -11,6 +11,8 @@ import pytest
 from pyspark.sql import Row, functions as F
 
 from tidemart import schemas, sinks
+from tidemart.bindings import streams as stream_queries
+from tidemart.bindings.registry import QUERIES
 from tidemart.operators import dims
 from tidemart.operators.changelog import flatten_envelopes
 from tidemart.plans import trade, traffic
@@ -294,6 +296,33 @@ def test_only_touched_partitions_are_written(spark, tmp_path):
     assert tables.read_table(spark, path).where("v = 2").count() == 1 and tables.read_table(spark, path).count() == 200
 
 
+def test_a_micro_batch_is_merged_by_size_whatever_its_session_has(spark, tmp_path):
+    names, seen = ("spark.sql.adaptive.enabled", "spark.sql.maxConcurrentOutputFileWriters"), []
+    own = spark.newSession()
+    own.conf.set(names[0], "false")
+
+    def merge(rows):
+        seen.append([rows.sparkSession.conf.get(n) for n in names])
+        return rows
+    tables.merged_batches(str(tmp_path / "t"), ["k"], merge, 4)(own.createDataFrame([(1, 1)], "k long, v int"), 0)
+    assert seen == [["true", "4"]] and own.conf.get(names[0]) == "false" and own.conf.get(names[1]) == "0"
+
+
+def test_keyed_upsert_joins_its_details_once(spark, monkeypatch):
+    plans = []
+
+    def recorded(path, keys, version):
+        write = sinks.upsert_batches(path, keys, version)
+
+        def run(df, batch):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            write(df, batch)
+        return run
+    monkeypatch.setattr(stream_queries, "upsert_batches", recorded)
+    assert QUERIES["keyed_upsert"](spark, "/root/testdata/sf0.001").count()
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
+
+
 def test_a_failure_between_both_steps_loses_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
