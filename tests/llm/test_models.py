@@ -8,6 +8,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -139,6 +141,73 @@ def test_best_class_is_the_most_likely_one():
         assert values[best] == pytest.approx(max(values.values()), abs=1e-6)
 
 
+def test_tokens_of_texts_are_those_of_bytes():
+    alphabet = [*map(chr, range(128)), *"éÀ\x85\xa0日😀 \t\n\r\x0b\x0c   AB"]
+    rng = random.Random(5)
+    texts = [None, "", " \n", *("".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(500))]
+    expected = [(t or "").encode().lower().split() for t in texts]
+    words, lengths = classes.tokens_of(pa.chunked_array([texts[:100], texts[100:]]))
+    assert words.to_pylist() == [w for of_text in expected for w in of_text]
+    assert lengths.tolist() == list(map(len, expected))
+    last = [sum(w[-4:].decode(errors="ignore")[-1:].encode()) % classes.SPELLED for w in words.to_pylist()]
+    assert classes.spelled_all(words).tolist() == [classes.spelled(w) for w in words.to_pylist()] == last
+
+
+def test_moves_are_those_of_plain_counts(spark):
+    """Packed and spread contexts give the moves of words one by one."""
+    rng, first, kinds, tokens = random.Random(4), classes.FIRST, 5, 6_000
+    size, top = first + kinds, 60
+    texts = [np.array([rng.choice([rng.randrange(16), first + min(int(rng.expovariate(0.05)), top - 1)]) for _ in range(60)], dtype=np.int32)
+             for _ in range(100)]
+    ids = spark.createDataFrame([(t.tobytes(),) for t in texts], "ids binary")
+    start = {first + i: first + i % kinds for i in range(top)}
+    class_of = spark.createDataFrame([*start.items()], "number long, class int")
+    parts = classes.by_place(classes.pair_parts(ids, tokens))
+    asked = classes.asked_by(parts.select(F.col("part").alias("key"), "numbers"))
+    pairs = Counter(p for t in texts for p in zip([classes.SPELLED, *t.tolist()], [*t.tolist(), classes.SPELLED]))
+    of = start | {i: i for i in range(first)}
+    square = np.zeros((size, size))
+    for (x, y), n in pairs.items():
+        square[of[x], of[y]] += n
+    expected = {}
+    for w in start:
+        if classes.half(np.array([w]), 0)[0] and any(w in p for p in pairs):
+            after, before = np.zeros(size), np.zeros(size)
+            for (x, y), n in pairs.items():
+                if x == w != y:
+                    after[of[y]] += n
+                if y == w != x:
+                    before[of[x]] += n
+            expected[w] = classes.best_class(square, of[w], after, before, pairs[w, w], first)
+    assert any(expected[w] != of[w] for w in expected)
+    for spread in (first, first + 20, first + top):
+        around = classes.contexts(parts, asked, class_of, size, 0, tokens, spread)
+        counted = {(r.side, r.other): r.n for r in classes.summed(around.where("word IS NULL")).collect()}
+        assert counted == {(int(x), int(y)): square[x, y] for x, y in zip(*np.nonzero(square))}
+        assert {r.word: r.best for r in classes.moves(around, square, class_of).collect()} == expected
+
+
+def test_parts_are_told_the_classes_they_ask_for(spark):
+    """What is sent is a class for each number of a part, not slices of all classes for every part."""
+    far = 3 * classes.SLICE
+    class_of = spark.range(classes.FIRST, far).select(F.col("id").alias("number"), (F.col("id") % 64 + classes.FIRST).cast("int").alias("class"))
+    numbers = {1: [3, classes.FIRST, far - 1], 2: [far - 2], 3: []}
+    rows = spark.createDataFrame([(k, np.array(v, dtype=np.int32).tobytes()) for k, v in numbers.items()], "key long, numbers binary")
+    told = classes.told_to(classes.asked_by(rows), class_of, 500 * classes.PART).toArrow()
+    assert sum(map(len, told["classes"].to_pylist())) == 2 * 4
+    for key, of_key in numbers.items():
+        mine = told.filter(pc.equal(told["key"], key))
+        found, kinds = classes.classes_told(mine)
+        assert found.tolist() == of_key
+        assert kinds.tolist() == [n if n < classes.FIRST else n % 64 + classes.FIRST for n in of_key]
+
+
+def test_words_of_blocks_are_read_by_one_python_worker(spark, table):
+    rows = classes.numbered(table, table["doc_id"], table["text"])
+    plan = classes.words_of_blocks(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_classes_without_rows(docs):
     assert classes.judge(docs.limit(0)).count() == 0
     only = classes.judge(docs.where("doc_id IS NULL")).collect()
