@@ -394,3 +394,36 @@ def test_results_carry_the_time_of_their_computation(spark, tmp_path):
     sinks.upsert_batches(path, ["k"], stamp=True)(spark.createDataFrame([("a", 1)], "k string, v int"), 0)
     row = sinks.read_upserted(spark, path, ["k"], ["ts"]).first()
     assert row.v == 1 and before - 1_000 <= row.ts <= time.time() * 1000 + 1_000
+
+
+def test_rows_reach_their_bucket_as_chunks_by_one_shuffle(spark, tmp_path):
+    feed = Feed(spark, tmp_path, "k string, at timestamp")
+    plan = state.first_seen(feed.stream(), ["k"], "at")._jdf.queryExecution().logical().toString()
+    assert "MapInArrow" in plan and "Repartition" not in plan
+
+
+def test_chunks_are_read_as_they_were_written_and_small():
+    rows = pa.table({"k": [f"key {i % 7}" for i in range(5_000)], "n": [None if i % 3 else i for i in range(5_000)]})
+    chunk = state._chunk(rows.slice(10, 4_000))
+    assert state._rows(chunk).equals(rows.slice(10, 4_000)) and len(chunk) < rows.nbytes / 8
+    assert state._rows(state._chunk(rows.slice(0, 0))).num_rows == 0
+
+
+def test_rows_as_they_came_are_kept_until_they_are_merged(spark, tmp_path, monkeypatch):
+    hints, path = [], str(tmp_path / "t")
+    rows = spark.range(20).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    hint = type(rows).hint
+    monkeypatch.setattr(type(rows), "hint", lambda df, name, *args: hints.append(name) or hint(df, name, *args))
+    tables.keyed_table_batches(path, ["k"], ["v"], 4)(rows, 0)
+    assert os.listdir(f"{path}/_main/batch_id=0") == ["merged"] and not hints
+    assert tables.read_table(spark, path).count() == 20
+
+
+def test_facts_of_a_micro_batch_are_deleted_after_the_next(spark, tmp_path):
+    image = ", ".join(f"{c}: string" for c in trade.WIDE_FIELDS)
+    facts = spark.createDataFrame([], "order_key string, table string, type string, ts string, "
+                                      f"data struct<{image}>, old map<string,string>")
+    write = jobs.order_wide_batches(str(tmp_path), lambda s: s.createDataFrame([], "dic_code string, dic_name string"))
+    write(facts, 0)
+    write(facts, 1)
+    assert os.listdir(tmp_path / "facts") == ["batch_id=1"] and len(os.listdir(tmp_path / "wide")) == 2
