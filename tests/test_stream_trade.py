@@ -403,9 +403,11 @@ def test_rows_reach_their_bucket_as_chunks_by_one_shuffle(spark, tmp_path):
 
 
 def test_chunks_are_read_as_they_were_written_and_small():
-    rows = pa.table({"k": [f"key {i % 7}" for i in range(5_000)], "n": [None if i % 3 else i for i in range(5_000)]})
-    chunk = state._chunk(rows.slice(10, 4_000))
-    assert state._rows(chunk).equals(rows.slice(10, 4_000)) and len(chunk) < rows.nbytes / 8
+    rows = pa.table({f"c{n}": [f"{n} {i % 7}" for i in range(300)] for n in range(20)}).slice(10, 200)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        writer.write_table(rows)
+    assert state._rows(state._chunk(rows)).equals(rows) and len(state._chunk(rows)) < sink.getvalue().size / 2
     assert state._rows(state._chunk(rows.slice(0, 0))).num_rows == 0
 
 
