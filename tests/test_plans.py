@@ -55,3 +55,10 @@ def test_only_bounded_sides_get_a_broadcast_hint(spark):
     plan = skew.skewed_join(spark.range(100).withColumn("v", F.col("id")), spark.range(10), ["id"])
     hinted = plan._jdf.queryExecution().analyzed().toString()
     assert hinted.count("strategy=broadcast") == 2 and hinted.count("GlobalLimit 1000") == 2
+
+
+def test_the_wide_order_table_shuffles_no_column_made_of_others(spark):
+    plan = entry.queries()["order_wide"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [n for n, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line]
+    made = [n for n, line in enumerate(plan.splitlines()) if "AS split_original_total_amount" in line]
+    assert made and max(made) < max(joins)
